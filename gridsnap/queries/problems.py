@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsnap.operators.hotdeck import Deck, Fill, apply_fills, hot_deck
+from gridsnap.operators.nested import Level, latest_documents, shred
 from gridsnap.sources.tables import table
 
 
@@ -40,7 +41,42 @@ def p1_filled(spark: SparkSession, sf: str) -> DataFrame:
     return apply_fills(plays, deck, hot_deck(plays, deck))
 
 
-QUERIES = {"p1_found": p1_found, "p1_filled": p1_filled}
+MATCH = (Level("half", "", ("num", "drives")), Level("drive", "drives"), Level("play", "eventGroups"))
+
+
+def match_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of each game's latest complete payload with the keys half, drive_no, play_no."""
+    nodes = shred(latest_documents(table(spark, sf, "match_feed"), "game_id", "fetched_at", "payload", MATCH), MATCH, carry=("num",))
+    at = lambda i: F.coalesce(F.get("path", F.lit(i)), F.lit(0))
+    num = F.get_json_object("root", "$.num").try_cast("double").cast("int") + 1
+    return nodes.select(F.col("key").alias("game_id"), "level", "path", "parent", "attrs", F.coalesce(num, at(0)).alias("half"), at(1).alias("drive_no"), at(2).alias("play_no"))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return match_nodes(spark, sf).select("level", "game_id", "half", "drive_no", "play_no")
+
+
+def _level(spark: SparkSession, sf: str, level: str, schema: str, keys: list[str]) -> DataFrame:
+    nodes = match_nodes(spark, sf).where(F.col("level") == level)
+    dewey = lambda c: F.array_join(F.col(c).cast("array<string>"), ".")
+    return nodes.select(*keys, dewey("path").alias("dewey"), dewey("parent").alias("parent_dewey"), F.from_json("attrs", schema).alias("a")).select(*keys, "dewey", "parent_dewey", "a.*")
+
+
+def p3_halves(spark: SparkSession, sf: str) -> DataFrame:
+    return _level(spark, sf, "half", "num string", ["game_id", "half"])
+
+
+def p3_drives(spark: SparkSession, sf: str) -> DataFrame:
+    return _level(spark, sf, "drive", "team struct<id:bigint,threeLetters:string>, yards int, timeOfPossession string", ["game_id", "half", "drive_no"])
+
+
+def p3_plays(spark: SparkSession, sf: str) -> DataFrame:
+    place = "struct<yardLine:int,team:bigint>"
+    schema = f"summary string, actionTitle string, down string, downLabel string, nextDown string, nextDownLabel string, target string, nextTarget string, startYardLine {place}, endYardLine {place}"
+    return _level(spark, sf, "play", schema, ["game_id", "half", "drive_no", "play_no"])
+
+
+QUERIES = {"p1_found": p1_found, "p1_filled": p1_filled, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
 
 _P1_GROUPS = (("posteam", "v1", "drive_id"), ("yardline_50", "v2", "drive_id"), ("ep", "v3", "half"), ("Winner", "v4", "game_id"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridsnap.operators.delimited import check_records, with_headers
 from gridsnap.operators.hotdeck import Deck, Fill, apply_fills, hot_deck
 from gridsnap.operators.nested import Level, latest_documents, shred
 from gridsnap.sources.tables import table
@@ -76,7 +77,27 @@ def p3_plays(spark: SparkSession, sf: str) -> DataFrame:
     return _level(spark, sf, "play", schema, ["game_id", "half", "drive_no", "play_no"])
 
 
-QUERIES = {"p1_found": p1_found, "p1_filled": p1_filled, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
+# What a distance and a count may hold.
+DISTANCE = (r"[0-9]+|G|NA|", 50)
+RAW_RULES = {"dist": DISTANCE, "yards_to_go": DISTANCE, "count": (r"[0-9]+", None)}
+
+
+def raw_records(spark: SparkSession, sf: str) -> DataFrame:
+    files = table(spark, sf, "raw_files").select("file_id", "delim")
+    return check_records(with_headers(table(spark, sf, "raw_lines").select("file_id", "line_no", "line"), files), RAW_RULES)
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return raw_records(spark, sf).where("reason is not null").select(F.col("id").alias("file_id"), "line_no", "reason").distinct()
+
+
+def p5_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """The valid lines, each as a map from column name to entry."""
+    good = raw_records(spark, sf).where("reason is null")
+    return good.select(F.col("id").alias("file_id"), "line_no", F.map_from_entries(F.arrays_zip("names", "fields")).alias("record"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_filled": p1_filled, "p5_found": p5_found, "p5_loaded": p5_loaded, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
 
 _P1_GROUPS = (("posteam", "v1", "drive_id"), ("yardline_50", "v2", "drive_id"), ("ep", "v3", "half"), ("Winner", "v4", "game_id"))
 

@@ -198,3 +198,14 @@ def with_headers(lines: DataFrame, files: DataFrame, file_id: str = "file_id") -
     heads = lines.where("line_no = 1 and line is not null").groupBy(F.col(file_id).alias("id")).agg(F.min("line").alias("header"))
     info = files.dropDuplicates([file_id]).withColumnRenamed(file_id, "id").join(heads, "id", "left")
     return lines.where("line_no > 1").select(F.col(file_id).alias("id"), "line_no", "line").join(info, "id", "left")
+
+
+def parse_headers(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """(id, names) of each file (id, delim) with a header line, the smallest text at line_no 1."""
+    heads = lines.where("line_no = 1 and line is not null").groupBy(F.col("file_id").alias("id")).agg(F.min("line").alias("header"))
+
+    @F.pandas_udf("array<string>")
+    def names(header: pd.Series, delim: pd.Series) -> pd.Series:
+        return pd.Series([header_names(h, d or ",") for h, d in zip(header, delim)])
+
+    return heads.join(files.select("id", "delim"), "id").select("id", names("header", "delim").alias("names"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsnap.operators.delimited import check_records, with_headers
+from gridsnap.operators.delimited import check_records, parse_headers, with_headers
+from gridsnap.operators.drift import file_schemas, profile_columns, schema_changes
 from gridsnap.operators.hotdeck import Deck, Fill, apply_fills, hot_deck
 from gridsnap.operators.nested import Level, latest_documents, shred
 from gridsnap.sources.tables import table
@@ -97,7 +98,18 @@ def p5_loaded(spark: SparkSession, sf: str) -> DataFrame:
     return good.select(F.col("id").alias("file_id"), "line_no", F.map_from_entries(F.arrays_zip("names", "fields")).alias("record"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_filled": p1_filled, "p5_found": p5_found, "p5_loaded": p5_loaded, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
+def raw_schemas(spark: SparkSession, sf: str) -> DataFrame:
+    """Each raw file with its profiled columns."""
+    files = table(spark, sf, "raw_files").select(F.col("file_id").alias("id"), "feed", "family", "covers_from", "delim").dropDuplicates(["id"])
+    headers = parse_headers(table(spark, sf, "raw_lines").select("file_id", "line_no", "line"), files)
+    return file_schemas(files.drop("delim"), headers, profile_columns(raw_records(spark, sf).where("reason is null")))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return schema_changes(raw_schemas(spark, sf), never_retyped=tuple(RAW_RULES)).withColumnRenamed("id", "file_id")
+
+
+QUERIES = {"p4_found": p4_found, "p1_found": p1_found, "p1_filled": p1_filled, "p5_found": p5_found, "p5_loaded": p5_loaded, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
 
 _P1_GROUPS = (("posteam", "v1", "drive_id"), ("yardline_50", "v2", "drive_id"), ("ep", "v3", "half"), ("Winner", "v4", "game_id"))
 

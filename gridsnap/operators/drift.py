@@ -16,9 +16,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 128
+BUCKETS = 4096
 #: Least similarity at which two columns count as one under another name.
-RENAME_AT = 0.4
+RENAME_AT = 0.32
 # Words that count as yes or no, and entries that say nothing.
 YES_NO = ("true", "false", "yes", "no", "y", "n", "t", "f")
 EMPTY = ("", "na")
@@ -83,19 +83,16 @@ def content_similarity(a: dict, b: dict) -> float:
     """0 to 1 from value histograms, number ranges and lengths; other classes of value lower it."""
     if not a["n"] or not b["n"]:
         return 0.3
-    p, q = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for part, side in ((p, a), (q, b)):
-        for bucket, n in side["hist"]:
-            part[bucket] += n
-    shared = np.minimum(p / p.sum(), q / q.sum()).sum()
-    support = ((p > 0) & (q > 0)).sum() / max(1, min((p > 0).sum(), (q > 0).sum()))
-    values = 0.5 * shared + 0.5 * support
+    p, q = ({bucket: n / side["n"] for bucket, n in side["hist"]} for side in (a, b))
+    both = p.keys() & q.keys()
+    values = 0.5 * sum(min(p[x], q[x]) for x in both) + 0.5 * len(both) / min(len(p), len(q))
     if a["mean"] is not None and b["mean"] is not None and a["kind"] != "text" and b["kind"] != "text":
         spread = max(a["sd"], b["sd"], 1e-9) + 0.25 * min(abs(a["mean"]), abs(b["mean"]))
-        shape = max(0.0, 1 - abs(a["mean"] - b["mean"]) / (2 * spread)) * (min(a["sd"], b["sd"]) + 0.1) / (max(a["sd"], b["sd"]) + 0.1)
+        shape, weight = max(0.0, 1 - abs(a["mean"] - b["mean"]) / (2 * spread)) * (min(a["sd"], b["sd"]) + 0.1) / (max(a["sd"], b["sd"]) + 0.1), 0.3
     else:
-        shape = min(a["len"], b["len"]) / max(a["len"], b["len"], 1e-9)
-    return 0.7 * values + 0.3 * shape if a["kind"] == b["kind"] else 0.5 * (0.5 * values + 0.5 * shape)
+        # Texts of which hardly one occurs twice share no values; then only their lengths can speak.
+        shape, weight = min(a["len"], b["len"]) / max(a["len"], b["len"], 1e-9), 0.5 if min(len(p) / a["n"], len(q) / b["n"]) > 0.9 else 0.15
+    return (1 - weight) * values + weight * shape if a["kind"] == b["kind"] else 0.25 * values + 0.25 * shape
 
 
 def similarity(a: dict, b: dict) -> float:
@@ -196,3 +193,47 @@ def schema_changes(schemas: DataFrame, never_retyped: tuple[str, ...] = ()) -> D
             yield pd.DataFrame(out, columns=["id", "kind", "old_name", "new_name"])
 
     return pairs.mapInPandas(run, f"id {schemas.schema['id'].dataType.simpleString()}, kind string, old_name string, new_name string")
+
+
+def canonical_names(schemas: DataFrame, changes: DataFrame) -> DataFrame:
+    """(family, name, canonical): names joined by renames anywhere in a family share the name most files bear.
+
+    Renames are applied from the most frequent on; one that would join two names standing side by side is left out.
+    One task handles one family's vocabulary of names, whose size is that of its schema, not of its files.
+    """
+    uses = schemas.select("family", F.explode("cols").alias("c")).groupBy("family", F.col("c.name").alias("a")).agg(F.count(F.lit(1)).alias("n")).withColumn("b", F.col("a"))
+    edges = changes.where("kind = 'renamed'").join(schemas.select("id", "family"), "id").groupBy("family", F.col("old_name").alias("a"), F.col("new_name").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    apart = apart_names(schemas).select("family", F.explode("apart").alias("p")).select("family", F.lit(-1).cast("long").alias("n"), "p.a", "p.b")
+    fields = ["family", "a", "b", "n"]
+
+    def join(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["n", "a", "b"], ascending=[False, True, True])
+        own = rows[(rows["a"] == rows["b"]) & (rows["n"] > 0)]
+        size = dict(zip(own["a"], own["n"]))
+        group = {x: {x} for x in size}
+        barred = {(a, b) for a, b, n in zip(rows["a"], rows["b"], rows["n"]) if n < 0}
+        for a, b, n in zip(rows["a"], rows["b"], rows["n"]):
+            if n < 0 or a == b or a not in group or b not in group or group[a] is group[b]:
+                continue
+            if not any((min(x, y), max(x, y)) in barred for x in group[a] for y in group[b]):
+                both = group[a] | group[b]
+                group |= dict.fromkeys(both, both)
+        best = {x: max(g, key=lambda y: (size[y], y)) for x, g in group.items()}
+        return pd.DataFrame({"family": [rows["family"].iloc[0]] * len(best), "name": list(best), "canonical": list(best.values())})
+
+    every = uses.select(*fields).unionByName(edges.select(*fields)).unionByName(apart.select(*fields)).where("family is not null")
+    return every.groupBy("family").applyInPandas(join, "family string, name string, canonical string")
+
+
+def unify(records: DataFrame, schemas: DataFrame, canonical: DataFrame) -> DataFrame:
+    """(id, line_no, feed, family, record): every valid record under its family's canonical names.
+
+    Entries are trimmed text; empty entries and NA become null. Project columns with ``record['name']``.
+    """
+    names = canonical.groupBy("family").agg(F.map_from_entries(F.collect_list(F.struct("name", "canonical"))).alias("as"))
+    maps = schemas.select("id", "feed", "family").join(names, "family")
+    clean = lambda v: F.when(~F.lower(F.trim(v)).isin(*EMPTY), F.trim(v))
+    pairs = F.transform(F.arrays_zip("names", "fields"), lambda c: F.struct(F.coalesce(F.try_element_at("as", c["names"]), c["names"]).alias("k"), clean(c["fields"]).alias("v")))
+    once = F.filter(pairs, lambda p: p["k"].isNotNull())
+    firsts = F.filter(once, lambda p, i: F.array_position(F.transform(once, lambda q: q["k"]), p["k"]) == i + 1)
+    return records.join(maps, "id").select("id", "line_no", "feed", "family", F.map_from_entries(firsts).alias("record"))

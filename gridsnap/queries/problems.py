@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsnap.operators.delimited import check_records, parse_headers, with_headers
-from gridsnap.operators.drift import file_schemas, profile_columns, schema_changes
+from gridsnap.operators.drift import canonical_names, file_schemas, profile_columns, schema_changes, unify
 from gridsnap.operators.hotdeck import Deck, Fill, apply_fills, hot_deck
 from gridsnap.operators.nested import Level, latest_documents, shred
 from gridsnap.sources.tables import table
@@ -109,7 +109,14 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return schema_changes(raw_schemas(spark, sf), never_retyped=tuple(RAW_RULES)).withColumnRenamed("id", "file_id")
 
 
-QUERIES = {"p4_found": p4_found, "p1_found": p1_found, "p1_filled": p1_filled, "p5_found": p5_found, "p5_loaded": p5_loaded, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
+def p4_unified(spark: SparkSession, sf: str) -> DataFrame:
+    """Every valid raw line under its family's canonical column names."""
+    schemas = raw_schemas(spark, sf)
+    names = canonical_names(schemas, schema_changes(schemas))
+    return unify(raw_records(spark, sf).where("reason is null"), schemas, names).withColumnRenamed("id", "file_id")
+
+
+QUERIES = {"p4_found": p4_found, "p4_unified": p4_unified, "p1_found": p1_found, "p1_filled": p1_filled, "p5_found": p5_found, "p5_loaded": p5_loaded, "p3_found": p3_found, "p3_halves": p3_halves, "p3_drives": p3_drives, "p3_plays": p3_plays}
 
 _P1_GROUPS = (("posteam", "v1", "drive_id"), ("yardline_50", "v2", "drive_id"), ("ep", "v3", "half"), ("Winner", "v4", "game_id"))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gridsnap.llm.mixing import mix, shares, token_counts
 from gridsnap.llm.residue import with_residue
 from gridsnap.sources.tables import table
 
@@ -17,5 +19,18 @@ def p8_clean(spark: SparkSession, sf: str) -> DataFrame:
     return with_residue(table(spark, sf, "documents")).where("residue is null").drop("residue")
 
 
-QUERIES = {"p8_found": p8_found, "p8_clean": p8_clean}
+def p7_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """The chosen documents and how often each is used, at the largest budget that holds every share."""
+    counted = token_counts(table(spark, sf, "documents"), ["doc_id", "source"])
+    chosen = mix(counted, table(spark, sf, "mix_targets"))
+    return chosen.groupBy("doc_id", "source", "tokens").agg(F.count(F.lit(1)).cast("int").alias("repeats"))
+
+
+def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual shares of the mixture."""
+    targets = table(spark, sf, "mix_targets")
+    return shares(mix(token_counts(table(spark, sf, "documents"), ["doc_id", "source"]), targets), targets)
+
+
+QUERIES = {"p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
 SQL: dict[str, str] = {}

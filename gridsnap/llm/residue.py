@@ -67,6 +67,7 @@ ERRORS = (
 FILLER = (
     r"\blorem\b|\bipsum\b|platzhalter|blindtext|dummy (?:copy|text)|sample text|filler text|placeholder (?:copy|text)|replace this|your \w+ (?:goes|go|comes) here|your (?:text|content|story|headline) here|write something|type something|"
     r"texto de (?:relleno|ejemplo|prueba)|texte (?:de remplissage|d'exemple|fictif)|faux texte|täyteteksti|esimerkkiteksti|coming soon|under construction|insert (?:text|title|story)|bitte ersetzen|à remplacer|remplacer ce|sustituir|reemplace|korvaa|"
+    r"tähän tulee|hier (?:kommt|steht|folgt|entsteht)|aquí (?:va|irá)|\bici (?:le|la|votre|vient)|\badd (?:an?|your|some|the)\b.{0,60}\bhere\b|max\. \d+ (?:characters|words|zeichen)|^\d+ (?:characters|words|zeichen)\b|"
     r"\bblah blah\b|\basdf|\bqwerty|\bfoo bar\b|\btest test\b"
 )
 FURNITURE = (

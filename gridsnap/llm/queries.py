@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridsnap.llm.leaks import find_leaks, removal_spans
 from gridsnap.llm.mixing import mix, shares, token_counts
 from gridsnap.llm.residue import with_residue
 from gridsnap.sources.tables import table
@@ -19,6 +20,15 @@ def p8_clean(spark: SparkSession, sf: str) -> DataFrame:
     return with_residue(table(spark, sf, "documents")).where("residue is null").drop("residue")
 
 
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select("doc_id", "item_id").distinct()
+
+
+def p6_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """The character spans to remove from each leaking document."""
+    return removal_spans(find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
 def p7_mixture(spark: SparkSession, sf: str) -> DataFrame:
     """The chosen documents and how often each is used, at the largest budget that holds every share."""
     counted = token_counts(table(spark, sf, "documents"), ["doc_id", "source"])
@@ -32,5 +42,5 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return shares(mix(token_counts(table(spark, sf, "documents"), ["doc_id", "source"]), targets), targets)
 
 
-QUERIES = {"p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
+QUERIES = {"p6_found": p6_found, "p6_spans": p6_spans, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
 SQL: dict[str, str] = {}

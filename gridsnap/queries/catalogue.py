@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from gridsnap.queries import problems
+from gridsnap.queries import problems, reference
 
 
 def queries() -> dict:
-    return dict(problems.QUERIES)
+    return problems.QUERIES | reference.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(problems.SQL)
+    from gridsnap.queries import reference_sql
+
+    return problems.SQL | reference_sql.SQL

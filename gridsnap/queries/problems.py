@@ -9,6 +9,7 @@ from gridsnap.operators.delimited import check_records, parse_headers, with_head
 from gridsnap.operators.drift import canonical_names, file_schemas, profile_columns, schema_changes, unify
 from gridsnap.operators.hotdeck import Deck, Fill, apply_fills, hot_deck
 from gridsnap.operators.nested import Level, latest_documents, shred
+from gridsnap.plans.cuts import cut
 from gridsnap.sources.tables import table
 
 
@@ -111,7 +112,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p4_unified(spark: SparkSession, sf: str) -> DataFrame:
     """Every valid raw line under its family's canonical column names."""
-    schemas = raw_schemas(spark, sf)
+    schemas = cut(raw_schemas(spark, sf))
     names = canonical_names(schemas, schema_changes(schemas))
     return unify(raw_records(spark, sf).where("reason is null"), schemas, names).withColumnRenamed("id", "file_id")
 

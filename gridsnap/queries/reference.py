@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridsnap.functions import plays as fp
 from gridsnap.operators import expected, families, model, reports, sequence
 from gridsnap.plans.order import Order
-from gridsnap.sources import playlog
+from gridsnap.sources import feeds, playlog
 from gridsnap.sources.tables import table
 
 KEY = ("game_id", "play_id")
@@ -155,7 +155,43 @@ def half_ends(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("is_end", F.col("play_id") == F.max("play_id").over(Order("play_id").all_half)).where("is_end").drop("is_end")
 
 
+def match_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """(game_id, drives, header): the play log as the two JSON documents of each game."""
+    rows = playlog.feed_rows(table(spark, sf, "events")).withColumn("d", 101 - F.col("drive_id_half"))
+    place = lambda line, team: F.struct(F.col(line).alias("yardLine"), F.conv(F.substring(team, 2, 1), 10, 10).cast("bigint").alias("team"))
+    play = F.struct("summary", F.col("action_title").alias("actionTitle"), "down", F.col("down_desc").alias("downLabel"), F.col("yards_to_go").alias("target"), F.col("yards_to_go_after").alias("nextTarget"), place("start_yard_line", "start_half_team").alias("startYardLine"), place("end_yard_line", "end_half_team").alias("endYardLine"))
+    drives = rows.groupBy("game_id", "home_team", "away_team", "half", "d").agg(F.transform(F.array_sort(F.collect_list(F.struct("play_id_drive", play.alias("play")))), lambda x: x["play"]).alias("eventGroups"), F.first("posteam_id").alias("team"))
+    drive = F.struct(F.struct(F.col("team").alias("threeLetters")).alias("team"), "eventGroups")
+    halves = drives.groupBy("game_id", "home_team", "away_team", "half").agg(F.transform(F.array_sort(F.collect_list(F.struct("d", drive.alias("v")))), lambda x: x["v"]).alias("drives"))
+    games = halves.groupBy("game_id", "home_team", "away_team").agg(F.array_sort(F.collect_list(F.struct((F.col("half") - 1).alias("num"), "drives"))).alias("halves"))
+    header = F.struct(F.struct(F.col("home_team").alias("id")).alias("home"), F.struct(F.col("away_team").alias("id")).alias("away"))
+    return games.select("game_id", F.to_json("halves").alias("drives"), F.to_json(header).alias("header"))
+
+
+def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    return feeds.match_rows(match_documents(spark, sf)).select("game_id", "half", "posteam_abb", "summary", "action_title", "down", "down_desc", "yards_to_go", "start_yard_line", "home_team", "away_team", "home_score", "stream_url")
+
+
+def roster_flatten(spark: SparkSession, sf: str) -> DataFrame:
+    """Rosters packed into one document per team and taken apart again."""
+    rows = table(spark, sf, "team_roster_old").distinct()
+    player = F.struct(F.col("Player ID").alias("id"), F.col("Name").alias("name"), F.col("Uniform Number").alias("uniform_number"), F.col("Position").alias("position"), F.col("Club").alias("club"))
+    packed = rows.groupBy("Team").agg(F.collect_list(player).alias("players")).select(F.to_json(F.array(F.struct(F.col("Team").alias("name"), "players"))).alias("payload"))
+    return feeds.team_players(packed)
+
+
+def text_cast(spark: SparkSession, sf: str) -> DataFrame:
+    """Distances as text, nulls kept."""
+    return clean_distinct(spark, sf).select(*KEY, F.col("yards_to_go").cast("string").alias("yards_to_go"), F.col("yards_to_go_after").cast("string").alias("yards_to_go_after"))
+
+
+def drop_cols(spark: SparkSession, sf: str) -> DataFrame:
+    """Canonical plays without the working columns; one that is absent is no error."""
+    return feed(spark, sf).drop(*sequence.WORKING).select("game_id", "play_id", "index", "passer", "receiver")
+
+
 QUERIES = {
+    "json_flatten": json_flatten, "roster_flatten": roster_flatten, "text_cast": text_cast, "drop_cols": drop_cols,
     "regex_extract": regex_extract, "sort_mixed": sort_mixed, "union_diagonal": union_diagonal, "csv_roundtrip": csv_roundtrip,
     "cast_selector": lambda s, d: narrow_ints(sort_mixed(s, d).select("game_id", "row_order")),
     "play_ids": _select(feed, "drive_id", "half", "half_end"), "event_flags": _select(feed, "down", "play_type", "point_after", "point_after_success", "penalty", *FLAGS),

@@ -225,5 +225,9 @@ SQL = {
     "distance_hist": f"{CLEAN} SELECT yards_to_go, count(*) AS plays FROM cp WHERE yards_to_go IS NOT NULL GROUP BY 1",
     "heldout_game": f"{WP} SELECT game_id, play_id, {_r('home_wp', 'wpa')} FROM wx WHERE game_id = 35",
 }
+SQL["json_flatten"] = LOG + FEED_RAW + " SELECT game_id, half, posteam_id AS posteam_abb, summary, action_title, down0 AS down, down_desc, ytg AS yards_to_go, syl AS start_yard_line, home_team, away_team, 0 AS home_score, 'Unknown' AS stream_url FROM fr"
+SQL["roster_flatten"] = 'SELECT DISTINCT Team, "Player ID", Name, "Uniform Number", Position, Club FROM team_roster_old'
+SQL["text_cast"] = f"{CLEAN} SELECT game_id, play_id, CAST(yards_to_go AS VARCHAR) AS yards_to_go, CAST(yards_to_go_after AS VARCHAR) AS yards_to_go_after FROM cp"
+SQL["drop_cols"] = FEED + f" SELECT game_id, play_id, row_order AS index, {_capture(PERSON + chr(92) + 's+pass')} AS passer, {_capture('pass complete to ' + PERSON)} AS receiver FROM fx"
 _PLAY_COLUMNS = "season competition_id competition_name competition_league gender game_id game_type game_group_id game_group half drive_id play_id half_end summary action_title down down_desc down_after down_after_desc yards_to_go yards_to_go_after yards_to_go_simple possession_time home_team away_team home_score away_score stream_url passer receiver rusher tackle_player interception_player sack_player play_result penalty safety play_type complete_pass interception touchdown point_after point_after_success def_touchdown one_point_conv_success two_point_conv_success defensive_two_point_conv scoring_play scoring_play_team posteam defteam posteam_after defteam_after yardline_50 yardline_50_after yards_gained first_down home_team_points away_team_points home_team_score away_team_score posteam_score defteam_score score_differential ep wp Winner".split()
 SQL["null_counts"] = CLEAN + " " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM cp" for c in _PLAY_COLUMNS)

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridsnap.plans.cuts import cut
+
 BUCKETS = 4096
 #: Least similarity at which two columns count as one under another name.
 RENAME_AT = 0.32
@@ -134,16 +136,15 @@ def assign(weights: np.ndarray) -> list[tuple[int, int]]:
 
 
 def compare(before: dict[str, dict], after: dict[str, dict], apart: set[tuple[str, str]], at: float = RENAME_AT) -> list[tuple[str, str, str]]:
-    """(kind, old name, new name) of each change from one file's columns to the next's."""
-    gone, new = [x for x in before if x not in after], [x for x in after if x not in before]
-    out = [("retyped", x, x) for x in before if x in after and before[x]["kind"] and after[x]["kind"] and before[x]["kind"] != after[x]["kind"]]
+    """(kind, old name, new name) for the columns that only the earlier and only the later of two files names."""
+    gone, new = list(before), list(after)
     score = np.zeros((len(gone), len(new)))
     for i, a in enumerate(gone):
         for j, b in enumerate(new):
             s = 0.0 if (min(a, b), max(a, b)) in apart else similarity(before[a], after[b])
             score[i, j] = s if s >= at else 0.0
     pairs = assign(score)
-    out += [("renamed", gone[i], new[j]) for i, j in pairs]
+    out = [("renamed", gone[i], new[j]) for i, j in pairs]
     out += [("removed", x, "") for i, x in enumerate(gone) if i not in {p for p, _ in pairs}]
     return out + [("added", "", x) for j, x in enumerate(new) if j not in {q for _, q in pairs}]
 
@@ -172,9 +173,22 @@ def schema_changes(schemas: DataFrame, never_retyped: tuple[str, ...] = ()) -> D
     Files without a feed or date are compared with nothing. The first file of a feed has no changes.
     """
     order = Window.partitionBy("feed").orderBy("covers_from", "id")
+    schemas = cut(schemas)
     dated = schemas.where("feed is not null and covers_from is not null")
     pairs = dated.withColumn("before", F.lag("cols").over(order)).where("before is not null")
-    pairs = pairs.join(apart_names(schemas), "family", "left").select("id", "before", "cols", "apart")
+    names = lambda c: F.transform(c, lambda x: x["name"])
+    missing = lambda c, other: F.filter(c, lambda x: ~F.array_contains(names(F.col(other)), x["name"]))
+    kinds = F.map_from_arrays(names("cols"), F.transform("cols", lambda x: x["kind"]))
+    pairs = pairs.select("id", "family", missing("before", "cols").alias("gone"), missing("cols", "before").alias("new"), F.transform("before", lambda x: F.struct(x["name"].alias("name"), x["kind"].alias("was"), F.try_element_at(kinds, x["name"]).alias("now"))).alias("kept"))
+    retyped = pairs.select("id", F.explode("kept").alias("k")).where("k.was <> k.now").where(~F.col("k.name").isin(*never_retyped)).select("id", F.lit("retyped").alias("kind"), F.col("k.name").alias("old_name"), F.col("k.name").alias("new_name"))
+
+    def change(kind: str, side: str) -> DataFrame:
+        name = F.col("c.name")
+        only = pairs.where(F.size("new" if side == "gone" else "gone") == 0).select("id", F.explode(side).alias("c"))
+        return only.select("id", F.lit(kind).alias("kind"), (name if side == "gone" else F.lit("")).alias("old_name"), (name if side == "new" else F.lit("")).alias("new_name"))
+
+    # Only files that both lost and gained names need matching, and only those columns.
+    unclear = pairs.where((F.size("gone") > 0) & (F.size("new") > 0)).join(apart_names(schemas), "family", "left").select("id", "gone", "new", "apart")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def columns(cols: list) -> dict[str, dict]:
@@ -187,12 +201,12 @@ def schema_changes(schemas: DataFrame, never_retyped: tuple[str, ...] = ()) -> D
 
         for batch in batches:
             out = []
-            for key, before, after, apart in zip(batch["id"], batch["before"], batch["cols"], batch["apart"]):
-                pairs = {(p["a"], p["b"]) for p in apart} if apart is not None else set()
-                out += [(key, *x) for x in compare(columns(before), columns(after), pairs) if x[0] != "retyped" or x[1] not in never_retyped]
+            for key, gone, new, apart in zip(batch["id"], batch["gone"], batch["new"], batch["apart"]):
+                out += [(key, *x) for x in compare(columns(gone), columns(new), {(p["a"], p["b"]) for p in apart} if apart is not None else set())]
             yield pd.DataFrame(out, columns=["id", "kind", "old_name", "new_name"])
 
-    return pairs.mapInPandas(run, f"id {schemas.schema['id'].dataType.simpleString()}, kind string, old_name string, new_name string")
+    matched = unclear.mapInPandas(run, f"id {schemas.schema['id'].dataType.simpleString()}, kind string, old_name string, new_name string")
+    return retyped.unionByName(change("removed", "gone")).unionByName(change("added", "new")).unionByName(matched)
 
 
 def canonical_names(schemas: DataFrame, changes: DataFrame) -> DataFrame:

@@ -97,9 +97,9 @@ def _is_title(s: str) -> bool:
 
 
 def _repeats(s: str) -> bool:
-    """Words that say nothing: no function word among many, few different ones."""
+    """Words that say nothing: hardly any different ones, or no function word among many."""
     words = re.findall(r"[\w/]+", s.lower())
-    return len(words) >= 6 and len(set(words)) <= 0.34 * len(words) + 1 or len(words) >= 12 and len(set(words)) < 0.75 * len(words) and not FUNCTION & set(words)
+    return len(words) >= 6 and len(set(words)) <= min(6, 0.34 * len(words) + 1) or len(words) >= 12 and len(set(words)) < 0.75 * len(words) and not FUNCTION & set(words)
 
 
 def kind_of_sentence(s: str) -> str:

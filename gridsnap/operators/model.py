@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridsnap.plans.cuts import cut
 from gridsnap.plans.order import Order, flag
 
 # The classes in the order of their labels; scores of tries have no label.
@@ -35,18 +36,27 @@ def wp_frame(df: DataFrame) -> DataFrame:
     return out.withColumn("label", flag(F.col("posteam") == F.col("Winner")))
 
 
-def ep_cells(frame: DataFrame) -> DataFrame:
-    """Weighted class frequencies per cell of field half, distance bucket and down: at most 2 x 6 x 5 rows and the odd downs."""
+def _cell_sums(frame: DataFrame) -> DataFrame:
+    """Weight of each class per cell of field half, distance bucket and down: at most 2 x 6 x 5 rows and the odd downs."""
     w = F.col("Total_W_Scaled")
-    share = {f"{name}_Prob": F.try_divide(F.sum(F.when(F.col("label") == i, w).otherwise(0.0)), F.sum(w)) for i, name in enumerate(CLASSES)}
-    return frame.where("label is not null").groupBy(*CELL).agg(*[c.alias(n) for n, c in share.items()])
+    sums = [F.sum(F.when(F.col("label") == i, w).otherwise(0.0)).alias(f"s{i}") for i in range(len(CLASSES))]
+    return frame.where("label is not null").groupBy(*CELL).agg(*sums, F.sum(w).alias("s"))
+
+
+def ep_cells(frame: DataFrame) -> DataFrame:
+    """Weighted class frequencies per cell."""
+    return _cell_sums(frame).select(*CELL, *[F.try_divide(F.col(f"s{i}"), F.col("s")).alias(f"{name}_Prob") for i, name in enumerate(CLASSES)])
 
 
 def score_ep(df: DataFrame, frame: DataFrame) -> DataFrame:
-    """``df`` with the probabilities of its cell, or of the whole frame where the cell is empty."""
+    """``df`` with the probabilities of its cell, or of the whole frame where the cell is empty.
+
+    The sums per cell, some sixty rows, are computed once; both the cells and the whole come from them.
+    """
+    sums = cut(_cell_sums(frame))
     names = [f"{name}_Prob" for name in CLASSES]
-    whole = frame.where("label is not null").agg(*[F.try_divide(F.sum(F.when(F.col("label") == i, F.col("Total_W_Scaled")).otherwise(0.0)), F.sum("Total_W_Scaled")).alias(f"all_{n}") for i, n in enumerate(names)])
-    cells = ep_cells(frame).withColumnsRenamed({c: f"c_{c}" for c in CELL} | {n: f"c_{n}" for n in names})
+    whole = sums.agg(*[F.try_divide(F.sum(f"s{i}"), F.sum("s")).alias(f"all_{n}") for i, n in enumerate(names)])
+    cells = sums.select(*[F.col(c).alias(f"c_{c}") for c in CELL], *[F.try_divide(F.col(f"s{i}"), F.col("s")).alias(f"c_{n}") for i, n in enumerate(names)])
     same = [F.col(c).eqNullSafe(F.col(f"c_{c}")) for c in CELL]
     out = df.join(F.broadcast(cells), same[0] & same[1] & same[2], "left").crossJoin(F.broadcast(whole))
     return out.withColumns({n: F.coalesce(f"c_{n}", f"all_{n}") for n in names}).drop(*[f"c_{c}" for c in (*CELL, *names)], *[f"all_{n}" for n in names])

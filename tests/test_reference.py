@@ -33,10 +33,10 @@ def test_single_play_first_drive_and_half_boundary(spark):
 
 def test_defensive_touchdown_turns_the_drive_up_to_it(spark):
     td = "#1 Ana Öst pass intercepted to #2 Bo Åk returned for a touchdown"
-    got = clean(spark, [(1, 2, 1, "A", "rush", "Play", "1"), (1, 1, 3, "H", "rush", "Play", "1"), (1, 1, 2, "H", td, "Touchdown", "1"), (1, 1, 1, "H", "#3 Cy Ek pass try is good", "PAT", "PAT 5 yards")])
-    assert [got[i]["posteam"] for i in (1, 2, 3, 4)] == ["A", "A", "A", "H"]
-    assert got[3]["def_touchdown"] == 1 and got[3]["touchdown"] == 0 and got[3]["scoring_play_team"] == "H" and got[3]["home_team_points"] == 6
-    assert got[4]["one_point_conv_success"] == 1 and got[4]["home_team_score"] == 7 and got[4]["score_differential"] == 7
+    got = clean(spark, [(1, 2, 2, "A", "rush", "Play", "1"), (1, 2, 1, "A", "rush", "Play", "1"), (1, 1, 3, "H", "rush", "Play", "1"), (1, 1, 2, "H", td, "Touchdown", "1"), (1, 1, 1, "H", "#3 Cy Ek pass try is good", "PAT", "PAT 5 yards")])
+    assert [got[i]["posteam"] for i in (1, 2, 3, 4, 5)] == ["A", "A", "A", "A", "H"]
+    assert got[4]["def_touchdown"] == 1 and got[4]["touchdown"] == 0 and got[4]["scoring_play_team"] == "H" and got[4]["home_team_points"] == 6
+    assert got[5]["one_point_conv_success"] == 1 and got[5]["home_team_score"] == 7 and got[5]["score_differential"] == 7
 
 
 def test_touchdown_on_the_first_play_counts_nothing(spark):

@@ -3,9 +3,10 @@
 Two donor pools are searched, the near one first:
 
 1. *Near*: records are hashed into blocks of (root key, time cell). A time cell spans ``cell`` consecutive order
-   values, so a block holds at most ``cell`` different records however large the root group is; a root with a third
-   of all rows is spread over as many blocks as it has cells. Inside a block every missing entry is compared with the
-   valid entries of its own group by a Gower-type distance over the mixed features both records show plus their gap in
+   values; a block holds its cell's records and, as donors only, those of the cell before and after, so no record within
+   ``cell`` of a missing entry is out of its sight and a block holds at most 3 x ``cell`` different records however large the
+   root group is; a root with a third of all rows is spread over as many blocks as it has cells. Inside a block every missing
+   entry of the cell is compared with the valid entries of its own group by a Gower-type distance over the mixed features both records show plus their gap in
    order; the ``k`` closest donate their weighted majority (categorical) or weighted median (numeric) value.
 2. *Group*: entries without a donor in their block take the majority or median value of all donors of their group.
    Only donors of such groups are gathered; they are counted by (field, group, value), or sketched, map-side before any shuffle, so a
@@ -81,13 +82,15 @@ def _distance(deck: Deck) -> Column:
 
 
 def _near(df: DataFrame, deck: Deck) -> DataFrame:
-    """A row (r, o, i, g, donors) per missing entry with a known group; donors: the k closest of its block, maybe none."""
+    """A row (r, o, i, g, donors) per missing entry with a known group; donors: the k closest of its cell and the two beside it, maybe none."""
     rows = _records(df, deck)
     names = [c for c in rows.columns if c not in ("r", "cell")]
     missing = reduce(lambda p, q: p | q, [F.col(f"v{i}").isNull() & F.col(f"g{i}").isNotNull() for i in range(len(deck.fills))])
-    # collect_set drops repeated rows on the map side already; a block is bounded by the cell's width.
-    blocks = rows.groupBy("r", "cell").agg(F.collect_set(F.struct(*names)).alias("recs"), F.max(missing).alias("any")).where("any")
-    x = blocks.select("r", "cell", "recs", F.explode(F.filter("recs", lambda s: reduce(lambda p, q: p | q, [s[f"v{i}"].isNull() & s[f"g{i}"].isNotNull() for i in range(len(deck.fills))]))).alias("x"))
+    # collect_set drops repeated rows on the map side already; a block is bounded by three cells' width.
+    filed = rows.select("*", missing.alias("lacks"), F.explode(F.array(*[F.col("cell") + F.lit(s) for s in (-1, 0, 1)])).alias("at"))
+    blocks = filed.groupBy("r", F.col("at").alias("cell")).agg(F.collect_set(F.struct(*names)).alias("recs"), F.max(F.col("lacks") & (F.col("cell") == F.col("at"))).alias("any")).where("any")
+    own = lambda s: F.floor(s["o"] / deck.cell) == F.col("cell")
+    x = blocks.select("r", "cell", "recs", F.explode(F.filter("recs", lambda s: own(s) & reduce(lambda p, q: p | q, [s[f"v{i}"].isNull() & s[f"g{i}"].isNotNull() for i in range(len(deck.fills))]))).alias("x"))
     text = lambda i: F.col(f"d.v{i}").cast("string")
     mine = [F.when(F.col(f"x.v{i}").isNull() & (F.col(f"x.g{i}") == F.col(f"d.g{i}")) & F.col(f"d.v{i}").isNotNull() & (F.col("x.o") != F.col("d.o")), F.struct(F.lit(i).alias("i"), text(i).alias("v"))) for i in range(len(deck.fills))]
     pairs = x.select("r", "cell", "x", F.explode("recs").alias("d")).select("r", "cell", F.col("x.o").alias("o"), F.col("d.o").alias("donor"), _distance(deck).alias("dist"), F.explode(F.array_compact(F.array(*mine))).alias("m"))
@@ -134,7 +137,10 @@ def hot_deck(df: DataFrame, deck: Deck) -> DataFrame:
     votes = counts.groupBy("r", "i", "g").agg(top["v"].alias("value"), F.array(top["lo"]).alias("donors"), *span)
     # percentile_approx keeps a bounded sketch per group and returns a value that some donor holds.
     middle = F.percentile_approx(F.col("v").cast("double"), 0.5, 1000)
-    medians = donors.where(nums).withColumns({"lo": F.col("o"), "hi": F.col("o")}).groupBy("r", "i", "g").agg(middle.cast("string").alias("value"), F.expr("array(min(o))").alias("donors"), *span)
+    medians = donors.where(nums).withColumns({"lo": F.col("o"), "hi": F.col("o")}).groupBy("r", "i", "g").agg(middle.cast("string").alias("value"), *span)
+    # The donor named is the first that holds the median.
+    holder = donors.where(nums).join(medians.select("r", "i", "g", F.col("value").alias("v")), ["r", "i", "g", "v"]).groupBy("r", "i", "g").agg(F.expr("array(min(o))").alias("donors"))
+    medians = medians.join(holder, ["r", "i", "g"], "left").select("r", "i", "g", "value", "donors", "lo", "hi")
     pool = votes.unionByName(medians)
     more = (
         rest.join(pool, ["r", "i", "g"])

@@ -61,3 +61,11 @@ def test_same_under_other_partitioning(spark):
     a = sorted(map(tuple, hot_deck(rows(spark, data), deck()).drop("donors").collect()))
     b = sorted(map(tuple, hot_deck(rows(spark, data[::-1]).repartition(9), deck()).drop("donors").collect()))
     assert a == b and a
+
+
+def test_neighbouring_cell_and_holder_of_the_median(spark):
+    deck = Deck("game", "play", (Fill("yard", "num", F.col("yard").between(0, 50), ("drive",)),))
+    rows = [(1, p, 1, v) for p, v in [(1, 5), (2, 5), (3, 5), (31, 40), (32, None)]] + [(2, p, 1, v) for p, v in [(1, 5), (2, 9), (3, 20), (200, None)]]
+    got = {r["game"]: r for r in hot_deck(spark.createDataFrame(rows, "game int, play int, drive int, yard int"), deck).collect()}
+    assert got[1]["source"] == "near" and 31 in got[1]["donors"] and float(got[1]["value"]) == 40
+    assert got[2]["source"] == "group" and float(got[2]["value"]) == 9 and got[2]["donors"] == [2]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridsnap.llm.leaks import find_leaks, removal_spans
 from gridsnap.llm.mixing import mix, shares, token_counts
-from gridsnap.llm.names import roster_links
+from gridsnap.llm.names import roster_groups, roster_links
 from gridsnap.llm.residue import with_residue
 from gridsnap.sources.tables import table
 
@@ -25,6 +25,11 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return roster_links(table(spark, sf, "team_roster_old"), table(spark, sf, "name_aliases"))
 
 
+def p2_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Every player id and every spelling of a club with the group it belongs to."""
+    return roster_groups(table(spark, sf, "team_roster_old"), table(spark, sf, "name_aliases"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select("doc_id", "item_id").distinct()
 
@@ -47,5 +52,5 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return shares(mix(token_counts(table(spark, sf, "documents"), ["doc_id", "source"]), targets), targets)
 
 
-QUERIES = {"p2_found": p2_found, "p6_found": p6_found, "p6_spans": p6_spans, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
+QUERIES = {"p2_found": p2_found, "p2_members": p2_members, "p6_found": p6_found, "p6_spans": p6_spans, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
 SQL: dict[str, str] = {}

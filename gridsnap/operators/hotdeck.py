@@ -1,16 +1,15 @@
 """Nearest-neighbour hot-deck filling of missing entries from similar records of the same group.
 
-Two donor pools are searched, the near one first:
-
-1. *Near*: records are hashed into blocks of (root key, time cell). A time cell spans ``cell`` consecutive order
-   values; a block holds its cell's records and, as donors only, those of the cell before and after, so no record within
-   ``cell`` of a missing entry is out of its sight and a block holds at most 3 x ``cell`` different records however large the
-   root group is; a root with a third of all rows is spread over as many blocks as it has cells. Inside a block every missing
-   entry of the cell is compared with the valid entries of its own group by a Gower-type distance over the mixed features both records show plus their gap in
-   order; the ``k`` closest donate their weighted majority (categorical) or weighted median (numeric) value.
-2. *Group*: entries without a donor in their block take the majority or median value of all donors of their group.
-   Only donors of such groups are gathered; they are counted by (field, group, value), or sketched, map-side before any shuffle, so a
-   hot group reaches a reducer as a few rows.
+Records are hashed into blocks of (root key, time cell) and compared on mixed features:
+
+1. *Near*: a time cell spans ``cell`` consecutive order values. Every missing entry is compared with the valid entries of its own
+   group in its cell and the two beside it, so no record within ``cell`` of it is out of sight, by a Gower-type distance over the
+   mixed features both records show plus their gap in order. A block holds at most ``cell`` different donors however large the root
+   group is; a root with a third of all rows is spread over as many blocks as it has cells.
+2. *Group*: entries without a donor there look into cells that grow level by level, each offering the first and last donor of
+   every cell below, so that no block grows and the nearest donors before and after are always compared.
+
+The ``k`` closest donate their weighted majority (categorical) or weighted median (numeric) value, and are named.
 """
 
 from __future__ import annotations
@@ -82,22 +81,72 @@ def _distance(deck: Deck) -> Column:
 
 
 def _near(df: DataFrame, deck: Deck) -> DataFrame:
-    """A row (r, o, i, g, donors) per missing entry with a known group; donors: the k closest of its cell and the two beside it, maybe none."""
+    """A row (r, o, i, g, donors) per missing entry with a known group; donors: the k closest of its cell and the two beside it, maybe none.
+
+    A record is filed as a donor in its own cell only; the few that lack an entry also visit the cells beside it, and what
+    they find there is put together by their key.
+    """
     rows = _records(df, deck)
     names = [c for c in rows.columns if c not in ("r", "cell")]
-    missing = reduce(lambda p, q: p | q, [F.col(f"v{i}").isNull() & F.col(f"g{i}").isNotNull() for i in range(len(deck.fills))])
-    # collect_set drops repeated rows on the map side already; a block is bounded by three cells' width.
-    filed = rows.select("*", missing.alias("lacks"), F.explode(F.array(*[F.col("cell") + F.lit(s) for s in (-1, 0, 1)])).alias("at"))
-    blocks = filed.groupBy("r", F.col("at").alias("cell")).agg(F.collect_set(F.struct(*names)).alias("recs"), F.max(F.col("lacks") & (F.col("cell") == F.col("at"))).alias("any")).where("any")
-    own = lambda s: F.floor(s["o"] / deck.cell) == F.col("cell")
-    x = blocks.select("r", "cell", "recs", F.explode(F.filter("recs", lambda s: own(s) & reduce(lambda p, q: p | q, [s[f"v{i}"].isNull() & s[f"g{i}"].isNotNull() for i in range(len(deck.fills))]))).alias("x"))
-    text = lambda i: F.col(f"d.v{i}").cast("string")
-    mine = [F.when(F.col(f"x.v{i}").isNull() & (F.col(f"x.g{i}") == F.col(f"d.g{i}")) & F.col(f"d.v{i}").isNotNull() & (F.col("x.o") != F.col("d.o")), F.struct(F.lit(i).alias("i"), text(i).alias("v"))) for i in range(len(deck.fills))]
-    pairs = x.select("r", "cell", "x", F.explode("recs").alias("d")).select("r", "cell", F.col("x.o").alias("o"), F.col("d.o").alias("donor"), _distance(deck).alias("dist"), F.explode(F.array_compact(F.array(*mine))).alias("m"))
-    best = pairs.groupBy("r", "cell", "o", F.col("m.i").alias("i")).agg(F.slice(F.array_sort(F.collect_list(F.struct("dist", "donor", F.col("m.v").alias("v")))), 1, deck.k).alias("donors"))
-    want = x.select("r", "cell", F.col("x.o").alias("o"), F.explode(F.array_compact(F.array(*[F.when(F.col(f"x.v{i}").isNull() & F.col(f"x.g{i}").isNotNull(), F.struct(F.lit(i).alias("i"), F.col(f"x.g{i}").alias("g"))) for i in range(len(deck.fills))]))).alias("m"))
-    want = want.select("r", "cell", "o", "m.i", "m.g").distinct()
-    return want.join(best, ["r", "cell", "o", "i"], "left").drop("cell")
+    lacks = lambda s, i: s[f"v{i}"].isNull() & s[f"g{i}"].isNotNull()
+    every = range(len(deck.fills))
+    missing = reduce(lambda p, q: p | q, [F.col(f"v{i}").isNull() & F.col(f"g{i}").isNotNull() for i in every])
+    filed = rows.select("*", missing.alias("lacks"), F.explode(F.when(missing, F.array(F.lit(0), F.lit(-1), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("step"))
+    # collect_set drops repeated rows on the map side already; donors are bounded by the cell's width, visitors by two cells'.
+    record = F.struct(*names)
+    blocks = filed.groupBy("r", (F.col("cell") + F.col("step")).alias("at")).agg(F.collect_set(F.when(F.col("step") == 0, record)).alias("recs"), F.collect_set(F.when(F.col("lacks"), record)).alias("x")).where("size(x) > 0")
+    # A null donor keeps a recipient that finds nobody.
+    pairs = blocks.select("r", "at", F.explode("x").alias("x"), "recs").select("r", "at", "x", F.explode(F.concat("recs", F.array(F.lit(None)))).alias("d"))
+    gap = _distance(deck)
+
+    def found(i: int) -> Column:
+        own = F.col("d.o").isNull() | ((F.col(f"x.g{i}") == F.col(f"d.g{i}")) & F.col(f"d.v{i}").isNotNull() & (F.col("x.o") != F.col("d.o")))
+        donor = F.when(F.col("d.o").isNotNull(), F.struct(F.col("dist"), F.col("d.o").alias("donor"), F.col(f"d.v{i}").cast("string").alias("v")))
+        return F.when(lacks(F.col("x"), i) & own, F.struct(F.lit(i).alias("i"), F.col(f"x.g{i}").alias("g"), donor.alias("d")))
+
+    each = pairs.withColumn("dist", gap).select("r", "at", F.col("x.o").alias("o"), F.explode(F.array_compact(F.array(*[found(i) for i in every]))).alias("m"))
+    closest = lambda lists: F.slice(F.array_sort(lists), 1, deck.k)
+    here = each.groupBy("r", "at", "o", "m.i", "m.g").agg(closest(F.collect_list("m.d")).alias("donors"))
+    return here.groupBy("r", "o", "i", "g").agg(closest(F.flatten(F.collect_list("donors"))).alias("donors"))
+
+
+#: Most groups that are sent to every task; beyond, their records are found by a shuffle.
+BROADCAST_GROUPS = 100_000
+
+
+def _far(rows: DataFrame, rest: DataFrame, deck: Deck) -> DataFrame:
+    """Donors of the entries ``rest`` (r, o, i, g) that their own and the neighbouring cells lack.
+
+    Level by level cells grow ``cell`` times as wide. A cell offers, of every cell of the level below and every group, the
+    first and the last donor, so it holds at most 2 x ``cell`` of them and the nearest before and after a recipient are among them. An entry
+    is settled at the first level at which it finds a donor in its cell or those beside it.
+    """
+    groups = rest.select("r", "i", "g").distinct()
+    many = groups.count()
+    if not many:
+        return rest.select("r", "o", "i", "g", F.expr("cast(array() as array<struct<dist:double,donor:bigint,v:string>>)").alias("donors"))
+    groups = F.broadcast(groups) if many <= BROADCAST_GROUPS else groups
+    features = [f"f{i}" for i in range(len(deck.features))]
+    each = F.explode(F.array_compact(F.array(*[F.when(F.col(f"v{i}").isNotNull() & F.col(f"g{i}").isNotNull(), F.struct(F.lit(i).alias("i"), F.col(f"g{i}").alias("g"), F.col(f"v{i}").cast("string").alias("v"))) for i in range(len(deck.fills))]))).alias("m")
+    donors = rows.select("r", "o", *features, each).select("r", "o", *features, "m.*").join(groups, ["r", "i", "g"], "left_semi")
+    wants = rest.join(rows.select("r", "o", *features).dropDuplicates(["r", "o"]), ["r", "o"])
+    ends = donors.agg(F.min("o").alias("lo"), F.max("o").alias("hi")).first()
+    reach = max(abs(ends["lo"] or 0), abs(ends["hi"] or 0))
+    width, out = deck.cell, None
+    held = lambda w: donors.groupBy("r", "i", "g", F.floor(F.col("o") / w).alias("c")).agg(F.min(F.struct("o", "v", *features)).alias("lo"), F.max(F.struct("o", "v", *features)).alias("hi"))
+    while True:
+        donors = cut(held(width).select("r", "i", "g", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("d")).select("r", "i", "g", "d.*"))
+        width *= deck.cell
+        near = wants.withColumn("c", F.explode(F.array(*[F.floor(F.col("o") / width) + s for s in (-1, 0, 1)]))).alias("x").join(donors.withColumn("c", F.floor(F.col("o") / width)).alias("d"), ["r", "i", "g", "c"]).where("x.o <> d.o")
+        found = near.groupBy("r", F.col("x.o").alias("o"), "i", "g").agg(F.slice(F.array_sort(F.collect_list(F.struct(_distance(deck).alias("dist"), F.col("d.o").alias("donor"), F.col("d.v").alias("v")))), 1, deck.k).alias("donors"))
+        found = cut(found)
+        out = found if out is None else out.unionByName(found)
+        # Three cells of a width beyond every order value hold all donors.
+        if width > reach:
+            return out
+        wants = cut(wants.join(found.select("r", "o", "i"), ["r", "o", "i"], "left_anti"))
+        if wants.isEmpty():
+            return out
 
 
 def _vote(deck: Deck) -> Column:
@@ -116,7 +165,7 @@ def _vote(deck: Deck) -> Column:
 def hot_deck(df: DataFrame, deck: Deck) -> DataFrame:
     """Fill values for every missing entry that other records of its group support.
 
-    Returns one row (root, order, field, value text, source ``near``/``group``, donors array of order values) per
+    Returns one row (root, order, field, value text, source ``near`` or ``group``, donors array of order values) per
     record and field. An entry is missing if it is null, NaN or not ``valid``; it is filled if a record of the same
     group with another order value holds a valid one. Records whose root, order or group column is null are left alone:
     they belong to no group. Repeated rows count once; if rows of one key disagree, a key whose any row lacks the entry
@@ -124,31 +173,12 @@ def hot_deck(df: DataFrame, deck: Deck) -> DataFrame:
     any other names; empty input gives an empty result.
     """
     near = cut(_near(df, deck))
-    filled = near.where("donors is not null").select("r", "o", "i", _vote(deck).alias("value"), F.lit("near").alias("source"), F.transform("donors", lambda d: d["donor"]).alias("donors"))
-    rest = near.where("donors is null").select("r", "o", "i", "g")
-    groups = rest.select("r", "i", "g").distinct()
-    rows = _records(df, deck)
-    each = F.explode(F.array_compact(F.array(*[F.when(F.col(f"v{i}").isNotNull() & F.col(f"g{i}").isNotNull(), F.struct(F.lit(i).alias("i"), F.col(f"g{i}").alias("g"), F.col(f"v{i}").cast("string").alias("v"))) for i in range(len(deck.fills))]))).alias("m")
-    donors = rows.select("r", "o", each).select("r", "o", "m.*").join(groups, ["r", "i", "g"], "left_semi").distinct()
-    nums = F.col("i").isin([i for i, f in enumerate(deck.fills) if f.kind == "num"])
-    span = [F.min("lo").alias("lo"), F.max("hi").alias("hi")]
-    counts = donors.where(~nums).groupBy("r", "i", "g", "v").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("lo"), F.max("o").alias("hi"))
-    top = F.max(F.struct("n", "v", "lo"))
-    votes = counts.groupBy("r", "i", "g").agg(top["v"].alias("value"), F.array(top["lo"]).alias("donors"), *span)
-    # percentile_approx keeps a bounded sketch per group and returns a value that some donor holds.
-    middle = F.percentile_approx(F.col("v").cast("double"), 0.5, 1000)
-    medians = donors.where(nums).withColumns({"lo": F.col("o"), "hi": F.col("o")}).groupBy("r", "i", "g").agg(middle.cast("string").alias("value"), *span)
-    # The donor named is the first that holds the median.
-    holder = donors.where(nums).join(medians.select("r", "i", "g", F.col("value").alias("v")), ["r", "i", "g", "v"]).groupBy("r", "i", "g").agg(F.expr("array(min(o))").alias("donors"))
-    medians = medians.join(holder, ["r", "i", "g"], "left").select("r", "i", "g", "value", "donors", "lo", "hi")
-    pool = votes.unionByName(medians)
-    more = (
-        rest.join(pool, ["r", "i", "g"])
-        .where((F.col("lo") != F.col("o")) | (F.col("hi") != F.col("o")))
-        .select("r", "o", "i", "value", F.lit("group").alias("source"), "donors")
-    )
+    rest = near.where("size(donors) = 0").select("r", "o", "i", "g")
+    far = _far(_records(df, deck), rest, deck)
+    named = lambda df, source: df.select("r", "o", "i", _vote(deck).alias("value"), F.lit(source).alias("source"), F.transform("donors", lambda d: d["donor"]).alias("donors"))
     names = F.array(*[F.lit(f.name) for f in deck.fills])
-    return filled.unionByName(more).select(F.col("r").alias(deck.root), F.col("o").alias(deck.order), F.element_at(names, F.col("i") + 1).alias("field"), "value", "source", "donors")
+    out = named(near.where("size(donors) > 0"), "near").unionByName(named(far, "group"))
+    return out.select(F.col("r").alias(deck.root), F.col("o").alias(deck.order), F.element_at(names, F.col("i") + 1).alias("field"), "value", "source", "donors")
 
 
 def apply_fills(df: DataFrame, deck: Deck, fills: DataFrame) -> DataFrame:

@@ -88,7 +88,10 @@ def points_of(side: str) -> Column:
 
 
 def clean_yardage(df: DataFrame) -> DataFrame:
-    """Field position of the possessing team, yards gained, distances as numbers, buckets and first downs."""
+    """Field position of the possessing team, yards gained, distances as numbers, buckets and first downs.
+
+    A distance is a whole number, G (goal), empty or null; anything else raises.
+    """
     from_home = lambda line, half: F.when(F.col(half) == F.col("away_team"), 50 - F.col(line)).otherwise(F.col(line))
     out = df.withColumns({"y": from_home("start_yard_line", "start_half_team"), "z": from_home("end_yard_line", "end_half_team")})
     turned = lambda c: F.when(F.col("posteam") == F.col("home_team"), F.col(c)).when(F.col("posteam") == F.col("away_team"), 50 - F.col(c)).otherwise(0)
@@ -99,7 +102,7 @@ def clean_yardage(df: DataFrame) -> DataFrame:
         number = F.when(text.isNull() | (text == ""), None)
         if pat:
             number = number.when(F.col("down_desc") == "PAT 5 yards", 5).when(F.col("down_desc") == "PAT 10 yards", 10)
-        return F.when(text == "G", 50 - F.col(line)).otherwise(number.otherwise(text.try_cast("int")))
+        return F.when(text == "G", 50 - F.col(line)).otherwise(number.otherwise(text.cast("int")))
 
     out = out.withColumns({"yards_gained": F.col("yardline_50_after") - F.col("yardline_50"), "yards_to_go": yards("yards_to_go", "yardline_50", True), "yards_to_go_after": yards("yards_to_go_after", "yardline_50_after", False)})
     return out.withColumns({"yards_to_go_simple": distance_bucket(F.col("yards_to_go")), "first_down": flag((F.col("yardline_50") < 25) & (F.col("yards_gained") > F.col("yards_to_go")))}).drop("y", "z")

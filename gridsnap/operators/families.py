@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridsnap.functions.plays import DEFENCE, OFFENCE, any_of, distance_bucket
-from gridsnap.operators.sequence import add_scores, games
+from gridsnap.operators.sequence import add_scores
 from gridsnap.plans.order import Order, flag, other_team
 
 
 def _with_games(df: DataFrame) -> DataFrame:
-    return df.join(games(df), "game_id").withColumn("defteam", other_team("posteam"))
+    """Home and away team, the first and second to possess the ball, on the exchange that the later windows share."""
+    whole = Window.partitionBy("game_id").orderBy("row_order").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    out = df.withColumn("home_team", F.first("posteam", ignorenulls=True).over(whole))
+    out = out.withColumn("away_team", F.first(F.when(F.col("posteam") != F.col("home_team"), F.col("posteam")), ignorenulls=True).over(whole))
+    return out.where("home_team is not null").withColumn("defteam", other_team("posteam"))
 
 
 def _gained(o: Order) -> Column:

@@ -10,11 +10,25 @@ def mean_by(df: DataFrame, group: str, value: str, into: str) -> DataFrame:
     return df.groupBy(group).agg(F.round(F.avg(value), 6).alias(into))
 
 
-def success(df: DataFrame) -> DataFrame:
-    """Each play's success (epa of 0 or more; none for null) and the running success rate of its home team's plays."""
-    w = Window.partitionBy("home_team").orderBy("game_id", "index").rowsBetween(Window.unboundedPreceding, 0)
-    out = df.withColumn("success", F.when(F.col("epa") >= 0, 1).otherwise(0))
-    return out.withColumn("success_rate", F.sum("success").over(w) / F.count(F.lit(1)).over(w))
+def with_success(df: DataFrame) -> DataFrame:
+    """Each play's success: epa of 0 or more; none for null."""
+    return df.withColumn("success", F.when(F.col("epa") >= 0, 1).otherwise(0))
+
+
+def running_success(df: DataFrame) -> DataFrame:
+    """success, and of its home team's plays so far (by game and place): successes, plays, success_rate to six places, halves up.
+
+    In two steps, as a team may have played a large share of all games: totals per game, summed over the team's games (one row
+    a game), then the running sum inside each game. The rate is rounded in whole numbers, so it is exact.
+    """
+    rows = with_success(df)
+    game = Window.partitionBy("game_id").orderBy("index").rowsBetween(Window.unboundedPreceding, 0)
+    team = Window.partitionBy("home_team").orderBy("game_id").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy("home_team", "game_id").agg(F.sum("success").alias("s"), F.count(F.lit(1)).alias("n"))
+    before = totals.select("game_id", *[F.coalesce(F.sum(c).over(team), F.lit(0)).alias(f"{c}0") for c in ("s", "n")])
+    out = rows.withColumns({"s": F.sum("success").over(game), "n": F.count(F.lit(1)).over(game)}).join(before, "game_id")
+    out = out.withColumns({"successes": F.col("s") + F.col("s0"), "plays": F.col("n") + F.col("n0")}).drop("s", "n", "s0", "n0")
+    return out.withColumn("success_rate", F.expr("(successes * 2000000 + plays) div (2 * plays)") / F.lit(1e6))
 
 
 def last_plays(df: DataFrame) -> DataFrame:
@@ -30,14 +44,21 @@ def wp_curve(df: DataFrame) -> DataFrame:
 
 
 def situation_counts(df: DataFrame, distance: str) -> DataFrame:
-    """Plays per down and distance with a text key; rows with either missing have no key."""
-    return df.groupBy("down", distance).agg(F.count(F.lit(1)).alias("count")).withColumn("situation", F.concat(F.col("down").cast("string"), F.lit(" & "), F.col(distance).cast("string")))
+    """Plays per down and distance (or field half) with a text key, sorted by both; rows with either missing have no key."""
+    counts = df.groupBy("down", distance).agg(F.count(F.lit(1)).alias("count"))
+    return counts.withColumn("situation", F.concat(F.col("down").cast("string"), F.lit(" & "), F.col(distance).cast("string"))).orderBy("down", distance)
 
 
 def try_rates(df: DataFrame) -> DataFrame:
-    """Attempts, good ones and rate of tries by distance."""
-    good = F.col("one_point_conv_success") + F.col("two_point_conv_success")
-    return df.where("down = 0").groupBy("yards_to_go").agg(F.count("down").alias("attempts"), F.sum(good).alias("good")).withColumn("rate", F.round(F.col("good") / F.col("attempts"), 6))
+    """Attempts (known results of one-point tries), good ones of either kind and their rate by distance."""
+    good = F.coalesce(F.sum("one_point_conv_success"), F.lit(0)) + F.coalesce(F.sum("two_point_conv_success"), F.lit(0))
+    counts = df.where("down = 0").groupBy("yards_to_go").agg(F.count("one_point_conv_success").alias("attempts"), good.alias("good"))
+    return counts.withColumn("rate", F.round(F.try_divide("good", "attempts"), 6))
+
+
+def head(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first n rows by the given order."""
+    return df.orderBy(*order).limit(n)
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -158,7 +158,8 @@ s5 AS (SELECT *, CASE WHEN game_end = 1 OR (half_end = 1 AND half = 1) THEN NULL
   ELSE {_SIGN.format('hd')} END AS epa, CASE WHEN game_end = 1 OR (half_end = 1 AND half = 1) THEN NULL ELSE x END AS ep FROM s4),
 s6 AS (SELECT *, coalesce(CASE WHEN posteam = home_team THEN epa ELSE -epa END, 0) AS home_team_epa, coalesce(CASE WHEN posteam = away_team THEN epa ELSE -epa END, 0) AS away_team_epa FROM s5),
 sx AS (SELECT *, sum(home_team_epa) OVER w AS total_home_epa, sum(away_team_epa) OVER w AS total_away_epa, CASE WHEN epa >= 0 THEN 1 ELSE 0 END AS success FROM s6 WINDOW w AS (PARTITION BY game_id ORDER BY row_order ROWS UNBOUNDED PRECEDING)),
-sr AS (SELECT *, sum(success) OVER w / count(*) OVER w::DOUBLE AS success_rate FROM sx WINDOW w AS (PARTITION BY home_team ORDER BY game_id, row_order ROWS UNBOUNDED PRECEDING))
+sc AS (SELECT *, CAST(sum(success) OVER w AS BIGINT) AS successes, count(*) OVER w AS plays FROM sx WINDOW w AS (PARTITION BY home_team ORDER BY game_id, row_order ROWS UNBOUNDED PRECEDING)),
+sr AS (SELECT *, ((successes * 2000000 + plays) // (2 * plays)) / 1000000.0::DOUBLE AS success_rate FROM sc)
 """
 )
 WP = (
@@ -186,12 +187,13 @@ def _capture(pattern: str) -> str:
 
 
 PERSON = f"#(\\d+)\\s+{WORD}\\s{WORD}"
+PASSER, RUSHER = PERSON + r"\s+pass", PERSON + r"\s+rush"
 FLAGS = "complete_pass, interception, touchdown, def_touchdown, one_point_conv_success, two_point_conv_success, defensive_two_point_conv, safety, scoring_play"
 _LABEL = "CASE WHEN scoring_play_team = {0} THEN CASE WHEN touchdown = 1 OR def_touchdown = 1 THEN 'TD' WHEN safety = 1 THEN 'Safety' END END AS {1}"
 _WIN = "CASE WHEN game_end = 1 THEN CASE WHEN home_team_score > away_team_score THEN home_team WHEN home_team_score < away_team_score THEN away_team WHEN home_team_score = away_team_score THEN 'TIE' END END"
 
 SQL = {
-    "regex_extract": f"{CLEAN} SELECT game_id, play_id, {_capture(PERSON + chr(92) + 's+pass')} AS passer, {_capture('pass complete to ' + PERSON)} AS receiver, {_capture(PERSON + chr(92) + 's+rush')} AS rusher, {_capture('tackled by ' + PERSON)} AS tackle_player, {_capture('pass intercepted to ' + PERSON)} AS interception_player, {_capture('sacked by ' + PERSON)} AS sack_player, {_capture('(rush|complete|incomplete|touchdown|first down|intercepted|sack|fumble|good|miss|timeout)')} AS play_result, {_capture('(penalty)')} AS penalty_word, {_capture('(safety)')} AS safety_word FROM cp",
+    "regex_extract": f"{CLEAN} SELECT game_id, play_id, {_capture(PASSER)} AS passer, {_capture('pass complete to ' + PERSON)} AS receiver, {_capture(RUSHER)} AS rusher, {_capture('tackled by ' + PERSON)} AS tackle_player, {_capture('pass intercepted to ' + PERSON)} AS interception_player, {_capture('sacked by ' + PERSON)} AS sack_player, {_capture('(rush|complete|incomplete|touchdown|first down|intercepted|sack|fumble|good|miss|timeout)')} AS play_result, {_capture('(penalty)')} AS penalty_word, {_capture('(safety)')} AS safety_word FROM cp",
     "sort_mixed": f"{FEED} SELECT game_id, half, drive_id_half, play_id_drive, row_order FROM fx",
     "cast_selector": f"{FEED} SELECT CAST(game_id AS INTEGER) AS game_id, CAST(row_order AS INTEGER) AS row_order FROM fx",
     "csv_roundtrip": f"{CHARTED} SELECT CAST(game_id AS BIGINT) AS game_id, CAST(play_id AS BIGINT) AS play_id, CAST(down AS BIGINT) AS DN, CAST(yards_to_go AS BIGINT) AS DIST, res AS RESULT FROM bx",
@@ -215,19 +217,31 @@ SQL = {
     "wpa": f"{WP} SELECT game_id, play_id, {_r('wp', 'home_wp', 'away_wp', 'def_wp', 'wpa', 'home_wp_post', 'away_wp_post')} FROM wx",
     "wpa_totals": f"{WP} SELECT game_id, play_id, {_r('total_home_wp', 'total_away_wp', 'total_home_wpa', 'total_away_wpa')} FROM wx",
     "epa_by_form": f"{EP} SELECT form, round(avg(epa), 6) AS epa FROM sx WHERE yards_to_go_simple = 2 GROUP BY form",
-    "success_rate_cum": f"{EP} SELECT game_id, play_id, home_team, success, round(success_rate, 6) AS success_rate FROM sr",
-    "success_rate_last": f"{EP} SELECT game_id, play_id, home_team, success, round(success_rate, 6) AS success_rate FROM sr WHERE play_id = (SELECT max(play_id) FROM sr)",
+    "success_rate_cum": f"{EP} SELECT game_id, play_id, home_team, success, successes, plays, success_rate FROM sr",
+    "success_rate_last": f"{EP} SELECT game_id, play_id, home_team, success, successes, plays, success_rate FROM sr WHERE play_id = (SELECT max(play_id) FROM sr)",
     "success_by_form": f"{EP} SELECT form, round(avg(success), 6) AS success FROM sr WHERE posteam = 'H3' AND yards_to_go_simple = 2 AND penalty = 0 GROUP BY form",
     "wp_curve": f"{WP} SELECT game_id, play_id, round(game_seconds_remaining, 6) AS game_seconds_remaining, round(home_wp, 6) AS home_wp, round(away_wp, 6) AS away_wp, {_LABEL.format('home_team', 'home_label')}, {_LABEL.format('away_team', 'away_label')} FROM wx",
     "situation_counts": f"{CLEAN} SELECT down, yards_to_go, count(*) AS count, down || ' & ' || yards_to_go AS situation FROM cp GROUP BY 1, 2",
     "situation_counts_bucket": f"{CLEAN} SELECT down, yards_to_go_simple, count(*) AS count, down || ' & ' || yards_to_go_simple AS situation FROM cp GROUP BY 1, 2",
-    "pat_rate": f"{CLEAN} SELECT yards_to_go, count(down) AS attempts, CAST(sum(one_point_conv_success + two_point_conv_success) AS BIGINT) AS good, round(sum(one_point_conv_success + two_point_conv_success) / count(down)::DOUBLE, 6) AS rate FROM cp WHERE down = 0 GROUP BY yards_to_go",
+    "pat_rate": f"{CLEAN} SELECT yards_to_go, count(one_point_conv_success) AS attempts, CAST(coalesce(sum(one_point_conv_success), 0) + coalesce(sum(two_point_conv_success), 0) AS BIGINT) AS good, round((coalesce(sum(one_point_conv_success), 0) + coalesce(sum(two_point_conv_success), 0)) / nullif(count(one_point_conv_success), 0)::DOUBLE, 6) AS rate FROM cp WHERE down = 0 GROUP BY yards_to_go",
     "distance_hist": f"{CLEAN} SELECT yards_to_go, count(*) AS plays FROM cp WHERE yards_to_go IS NOT NULL GROUP BY 1",
     "heldout_game": f"{WP} SELECT game_id, play_id, {_r('home_wp', 'wpa')} FROM wx WHERE game_id = 35",
 }
-SQL["json_flatten"] = LOG + FEED_RAW + " SELECT game_id, half, posteam_id AS posteam_abb, summary, action_title, down0 AS down, down_desc, ytg AS yards_to_go, syl AS start_yard_line, home_team, away_team, 0 AS home_score, 'Unknown' AS stream_url FROM fr"
-SQL["roster_flatten"] = 'SELECT DISTINCT Team, "Player ID", Name, "Uniform Number", Position, Club FROM team_roster_old'
+SQL["json_flatten"] = LOG + FEED_RAW + " SELECT game_id, half, posteam_id AS posteam_abb, summary, action_title, down0 AS down, down_desc, ytg AS yards_to_go, CASE WHEN syl = 7 THEN 0 ELSE syl END AS start_yard_line, home_team, away_team, 0 AS home_score, 'Unknown' AS stream_url FROM fr"
+SQL["roster_flatten"] = 'SELECT DISTINCT length(Team) AS team_id, Team, "Player ID", Name, "Uniform Number", Position, Club FROM team_roster_old'
+_CSV = "CAST(game_id AS {0}) AS game_id, CAST(play_id AS {0}) AS play_id"
+SQL["scan_csv_all_string"] = f"{CHARTED} SELECT {_CSV.format('VARCHAR')}, CAST(down AS VARCHAR) AS DN, CAST(yards_to_go AS VARCHAR) AS DIST, res AS RESULT FROM bx"
+SQL["scan_csv_typed"] = f"{CHARTED} SELECT {_CSV.format('BIGINT')}, CAST(down AS VARCHAR) AS DN, CAST(yards_to_go AS INTEGER) AS DIST, res AS RESULT FROM bx"
+SQL["scan_csv_glob"] = f"{CHARTED} SELECT {_CSV.format('BIGINT')}, CAST(down AS BIGINT) AS DN, CASE WHEN game_id % 3 = 1 THEN CAST(yards_to_go AS BIGINT) END AS DIST, CASE WHEN game_id % 3 = 2 THEN res END AS RESULT FROM bx"
+SQL["situation_counts_field"] = f"{CHARTED} SELECT down, yardline_50_simple, count(*) AS count, down || ' & ' || yardline_50_simple AS situation FROM bx GROUP BY 1, 2"
+SQL["head_plays"] = f"{CHARTED} SELECT game_id, play_id, posteam, down, yards_to_go, play_type FROM bx ORDER BY game_id, play_id LIMIT 100"
+_OTHERS = ("AS gap FROM px)", "AS gap FROM px WHERE game_id <> 35)")
+SQL["heldout_game_ep"] = EP.replace(*_OTHERS) + f" SELECT game_id, play_id, {_r('ep', 'epa')} FROM sx WHERE game_id = 35"
+_TRAIN = ("label", "yardline_50", "yards_to_go", "down0", "down1", "down2", "down3", "down4", "Total_W_Scaled")
+_FRAME = FRAME.replace(*_OTHERS) + f", tr AS (SELECT game_id, play_id, label, yardline_50, yards_to_go, {', '.join(f'CASE WHEN down = {i} THEN 1 ELSE 0 END AS down{i}' for i in range(5))}, w AS Total_W_Scaled FROM ex)"
+SQL["null_counts_frame"] = _FRAME + " " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM tr" for c in _TRAIN)
+SQL["training_rows"] = _FRAME + f" SELECT game_id, play_id, {', '.join(_TRAIN[:-1])}, round(Total_W_Scaled, 6) AS Total_W_Scaled FROM tr WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _TRAIN)
 SQL["text_cast"] = f"{CLEAN} SELECT game_id, play_id, CAST(yards_to_go AS VARCHAR) AS yards_to_go, CAST(yards_to_go_after AS VARCHAR) AS yards_to_go_after FROM cp"
-SQL["drop_cols"] = FEED + f" SELECT game_id, play_id, row_order AS index, {_capture(PERSON + chr(92) + 's+pass')} AS passer, {_capture('pass complete to ' + PERSON)} AS receiver FROM fx"
+SQL["drop_cols"] = FEED + f" SELECT game_id, play_id, row_order AS index, {_capture(PASSER)} AS passer, {_capture('pass complete to ' + PERSON)} AS receiver FROM fx"
 _PLAY_COLUMNS = "season competition_id competition_name competition_league gender game_id game_type game_group_id game_group half drive_id play_id half_end summary action_title down down_desc down_after down_after_desc yards_to_go yards_to_go_after yards_to_go_simple possession_time home_team away_team home_score away_score stream_url passer receiver rusher tackle_player interception_player sack_player play_result penalty safety play_type complete_pass interception touchdown point_after point_after_success def_touchdown one_point_conv_success two_point_conv_success defensive_two_point_conv scoring_play scoring_play_team posteam defteam posteam_after defteam_after yardline_50 yardline_50_after yards_gained first_down home_team_points away_team_points home_team_score away_team_score posteam_score defteam_score score_differential ep wp Winner".split()
 SQL["null_counts"] = CLEAN + " " + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls FROM cp" for c in _PLAY_COLUMNS)

@@ -9,10 +9,11 @@ from gridsnap.sources import feeds, playlog
 def test_all_queries_against_sql(compare):
     from gridsnap.queries.reference_sql import SQL
 
-    for name in ("json_flatten", "roster_flatten", "regex_extract", "union_diagonal", "play_ids", "event_flags", "posteam_correction", "yardage", "running_score", "hudl_plays", "dsf_plays", "next_score", "clock", "epa", "wpa_totals", "success_rate_last", "null_counts"):
-        left, right = compare(reference.QUERIES[name], SQL[name])
+    for name, sql in SQL.items():
+        left, right = compare(reference.QUERIES[name], sql, 1)
         assert left == right, name
-    assert set(reference.QUERIES) == set(SQL)
+    trained = {"ep_trained_quality", "ep_importances", "wp_trained", "wp_trained_quality"}
+    assert set(reference.QUERIES) == set(SQL) | trained
 
 
 def raw(spark, plays):
@@ -72,7 +73,7 @@ def test_invariants(spark):
 def test_empty_tables(spark):
     ev = spark.createDataFrame([], "event_id bigint, user_id bigint, event_type string, props string")
     rows = expected.prepare_ep(expected.prepare_wp(families.charted_by_result(playlog.result_rows(ev))))
-    assert expected.add_ep(model.score_ep(rows, model.ep_frame(rows))).count() == 0 and sequence.clean_plays(playlog.feed_rows(ev)).count() == 0
+    assert expected.add_ep(model.score_ep(rows, model.ep_counts(rows))).count() == 0 and model.ep_frame(rows).count() == 0 and sequence.clean_plays(playlog.feed_rows(ev)).count() == 0
     assert reports.null_counts(ev).where("nulls <> 0").count() == 0
 
 
@@ -81,6 +82,10 @@ def test_feeds(spark):
     df = spark.createDataFrame([(1, doc, '{"home":{"id":"5"},"result":null}'), (2, "oops", '{"home":{"id":"5"}}'), (3, doc, "oops"), (4, None, None)], "game_id int, drives string, header string")
     got = feeds.match_rows(df).collect()
     assert [(r["game_id"], r["half"], r["drive_id_half"], r["play_id_drive"], r["summary"]) for r in sorted(got, key=str)] == [(1, 1, 1, 1, "a"), (1, 1, 1, 2, "b")]
+    assert got[0]["start_yard_line"] == 0 and got[0]["end_half_team"] == "0" and got[0]["posteam_abb"] == "ABC"
+    bare = spark.createDataFrame([(1, '[{"num":0,"drives":[{"eventGroups":[{"startYardLine":{"yardLine":3}}]}]}]', '{"home":{"id":"5"}}')], "game_id int, drives string, header string")
+    one = feeds.match_rows(bare).first()
+    assert (one["posteam_id"], one["posteam_abb"], one["start_yard_line"], one["start_half_team"], one["end_yard_line"]) == ("Unknown", "Unknown", 3, "0", 0)
     assert got[0]["away_team"] == "Unknown" and got[0]["home_score"] == 0 and got[0]["season"] == "0" and got[0]["stream_url"] == "Unknown"
     team = spark.createDataFrame([('[{"name":"T","players":[{"id":1,"name":"x"},{"id":2}]},{"name":"U","players":[{"id":3}]}]',), ("no",), (None,)], "payload string")
     assert [r["Player ID"] for r in feeds.team_players(team).collect()] == [1, 2]
@@ -94,7 +99,52 @@ def test_trained_models(spark):
     scored = model.trained_ep(frame, model.train_ep(train, depth=3, trees=5))
     assert scored.where(F.abs(F.col("Touchdown_Prob") + F.col("Opp_Touchdown_Prob") + F.col("Safety_Prob") + F.col("Opp_Safety_Prob") + F.col("No_Score_Prob") - 1) > 1e-6).count() == 0
     fitted = model.train_wp(model.wp_frame(rows), depth=2, rounds=3)
-    assert set(fitted.transform(model.wp_frame(rows).select("label", *model.WP_FEATURES).na.drop()).columns) >= {"probability", "prediction"}
+    wp = model.trained_wp(model.wp_frame(rows), fitted)
+    assert wp.where("wp < 0 or wp > 1 or wp is null").count() == 0 and wp.count() > 0
+
+
+def test_evaluation_by_hand(spark):
+    import math
+
+    df = spark.createDataFrame([(0, 0.5, 0.5, 1.0), (1, 0.25, 0.75, 3.0), (0, 0.0, 1.0, 0.0), (None, 0.1, 0.9, 1.0), (1, None, None, 1.0)], "label int, a double, b double, w double")
+    got = model.evaluate(df, [F.col("a"), F.col("b")], F.col("w")).first()
+    assert got["rows"] == 3 and abs(got["log_loss"] + (math.log(0.5) + 3 * math.log(0.75)) / 4) < 1e-12 and got["accuracy"] == 1.0
+    assert model.evaluate(df.limit(0), [F.col("a"), F.col("b")]).first()["rows"] == 0
+
+
+def test_model_lifecycle(spark):
+    sf = "/root/testdata/sf0.001"
+    quality = reference.ep_trained_quality(spark, sf).collect()
+    assert [r["rows_used"] for r in quality] == ["held_out", "held_out", "all"] and all(0 < r["log_loss"] < 1.7 for r in quality) and quality[0]["log_loss"] <= quality[1]["log_loss"]
+    shares = [r["importance"] for r in reference.ep_importances(spark, sf).collect()]
+    assert abs(sum(shares) - 1) < 1e-9 and shares == sorted(shares, reverse=True)
+    assert reference.wp_trained_quality(spark, sf).first()["accuracy"] > 0.5
+
+
+def test_running_success_by_hand(spark):
+    rows = [("H", 2, 1, 0.5), ("H", 1, 1, -1.0), ("H", 1, 2, 0.0), ("K", 3, 1, None), ("H", 2, 2, None)]
+    got = {(r["game_id"], r["index"]): (r["successes"], r["plays"], r["success_rate"]) for r in reports.running_success(spark.createDataFrame(rows, "home_team string, game_id int, index int, epa double")).collect()}
+    assert got == {(1, 1): (0, 1, 0.0), (1, 2): (1, 2, 0.5), (2, 1): (2, 3, 0.666667), (2, 2): (2, 4, 0.5), (3, 1): (0, 1, 0.0)}
+
+
+def test_delimited_files(spark, tmp_path):
+    import pytest
+
+    from gridsnap.sources import delimited_files as files
+
+    (tmp_path / "a.csv").write_text('x;"y"\n1;"a;b"\n;""\n')
+    (tmp_path / "b.csv").write_text("y;z\nc;3\n")
+    (tmp_path / "c.csv").write_text("x;y\n5;d\n")
+    got = sorted(map(tuple, files.read_many(spark, f"{tmp_path}/*.csv").select("x", "y", "z").collect()), key=str)
+    assert got == sorted([("1", "a;b", None), (None, None, None), (None, "c", "3"), ("5", "d", None)], key=str)
+    assert files.read_typed(spark, f"{tmp_path}/b.csv", {"y": "string", "z": "int"}, ";").first()["z"] == 3
+    with pytest.raises(Exception):
+        files.read_typed(spark, f"{tmp_path}/b.csv", {"y": "int", "z": "int"}, ";").collect()
+
+
+def test_tries_count_each_flag_alone(spark):
+    df = spark.createDataFrame([(0, 5, 1, None), (0, 5, None, 1), (0, 5, 0, 0), (1, 5, 1, 1)], "down int, yards_to_go int, one_point_conv_success int, two_point_conv_success int")
+    assert [tuple(r) for r in reports.try_rates(df).collect()] == [(5, 2, 2, 1.0)]
 
 
 

@@ -14,6 +14,7 @@ record and not the rest of the file. Over rows that are one record each, the row
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -117,6 +118,29 @@ def parse_text(text: str, delim: str, width: int) -> Iterator[tuple[int, list[st
             at = starts[k] if k < len(starts) else n
 
 
+def parse_texts(texts: DataFrame) -> DataFrame:
+    """Parse rows (id, part, text, starts, width, delim) of whole texts, each a bounded run of a file's lines.
+
+    One row per record: id, part, line (which of ``starts``, the offsets at which lines begin, the record begins in), fields
+    (null where the quoting is broken), reason (null, ``quoting`` or ``column_count``), at (offset of the error from that line's
+    start, maybe in a later one). Broken records end at the next validated anchor. A null text holds no records.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for key, part, text, starts, width, delim in zip(*(batch[c] for c in ("id", "part", "text", "starts", "width", "delim"))):
+                starts = list(starts) if starts is not None else []
+                for offset, fields, error in parse_text(text, delim or ",", int(width)) if isinstance(text, str) else ():
+                    line = bisect_right(starts, offset) - 1
+                    out.append((key, part, line, fields, error[1] if error else None, error[0] - starts[line] if error else None))
+            got = pd.DataFrame(out, columns=["id", "part", "line", "fields", "reason", "at"])
+            yield got.assign(at=pd.array(got["at"], dtype="Int32"))
+
+    kinds = {c: texts.schema[c].dataType.simpleString() for c in ("id", "part")}
+    return texts.mapInPandas(run, f"id {kinds['id']}, part {kinds['part']}, line int, fields array<string>, reason string, at int")
+
+
 def header_names(line: str, delim: str) -> list[str]:
     """Column names of a header: lower case, without byte-order mark, outer quotes and outer blanks."""
     line = line.removeprefix(BOM)

@@ -3,7 +3,7 @@
 Every column of every file is profiled by mergeable sketches of bounded size: counts of value classes, a hashed value
 histogram, and moments of its numbers and lengths. Each file is compared with the one before it: columns whose names stay
 are the same; the others are matched by a maximum-weight bipartite assignment over the similarity of content and name.
-Names that stand side by side in any file of a family are different columns and are never matched to each other.
+Names that stand side by side in a fair share of a family's files are different columns and are never matched to each other.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from gridsnap.plans.cuts import cut
 
 BUCKETS = 4096
+#: Share of the files that hold the rarer of two names from which their standing side by side proves two columns.
+APART_SHARE = 1 / 20
 #: Least similarity at which two columns count as one under another name.
 RENAME_AT = 0.32
 # Words that count as yes or no, and entries that say nothing.
@@ -161,10 +163,15 @@ def file_schemas(files: DataFrame, headers: DataFrame, profiles: DataFrame) -> D
 
 
 def apart_names(schemas: DataFrame) -> DataFrame:
-    """(family, apart): pairs of names, smaller first, that stand in one header; as large as the vocabulary of names allows."""
-    heads = schemas.select("family", F.array_sort(F.transform("cols", lambda c: c["name"])).alias("names")).distinct()
-    pairs = heads.select("family", "names", F.explode("names").alias("a")).select("family", "a", F.explode("names").alias("b")).where("a < b").distinct()
-    return pairs.groupBy("family").agg(F.collect_list(F.struct("a", "b")).alias("apart"))
+    """(family, apart): pairs of names, smaller first, that stand in one header in ``APART_SHARE`` of the files that hold the rarer
+    one: a single untidy header bars no rename. As large as the vocabulary of names allows.
+    """
+    heads = schemas.select("family", F.array_sort(F.transform("cols", lambda c: c["name"])).alias("names")).groupBy("family", "names").agg(F.count(F.lit(1)).alias("n"))
+    pairs = heads.select("family", "names", "n", F.explode("names").alias("a")).select("family", "n", "a", F.explode("names").alias("b")).where("a <= b").groupBy("family", "a", "b").agg(F.sum("n").alias("n"))
+    alone = pairs.where("a = b")
+    of = lambda c: alone.select("family", F.col("a").alias(c), F.col("n").alias(f"n_{c}"))
+    both = pairs.where("a < b").join(of("a"), ["family", "a"]).join(of("b"), ["family", "b"]).where(F.col("n") >= APART_SHARE * F.least("n_a", "n_b"))
+    return both.groupBy("family").agg(F.collect_list(F.struct("a", "b")).alias("apart"))
 
 
 def schema_changes(schemas: DataFrame, never_retyped: tuple[str, ...] = ()) -> DataFrame:
@@ -251,3 +258,29 @@ def unify(records: DataFrame, schemas: DataFrame, canonical: DataFrame) -> DataF
     once = F.filter(pairs, lambda p: p["k"].isNotNull())
     firsts = F.filter(once, lambda p, i: F.array_position(F.transform(once, lambda q: q["k"]), p["k"]) == i + 1)
     return records.join(maps, "id").select("id", "line_no", "feed", "family", F.map_from_entries(firsts).alias("record"))
+
+
+def column_types(schemas: DataFrame, canonical: DataFrame, text_share: float = 0.02) -> list:
+    """Rows (family, name, type) of every canonical column: text if files with ``text_share`` of its entries hold text, else
+    the narrowest of boolean, bigint and double that takes the others. One row per name of the vocabulary reaches the driver.
+    """
+    cols = schemas.select("family", F.explode("cols").alias("c")).select("family", "c.name", "c.kind", "c.n").join(canonical, ["family", "name"])
+    n = lambda *kinds: F.coalesce(F.sum(F.when(F.col("kind").isin(*kinds), F.col("n"))), F.lit(0))
+    every = n("whole", "decimal", "yes_no", "text")
+    kind = F.when((n("text") > text_share * every) | (every == 0), "string").when(n("decimal") > 0, "double").when(n("whole") >= n("yes_no"), "bigint").otherwise("boolean")
+    return cols.groupBy("family", F.col("canonical").alias("name")).agg(kind.alias("type")).orderBy("family", "name").collect()
+
+
+def typed_table(unified: DataFrame, types: list, family: str) -> DataFrame:
+    """(id, line_no, one typed column per name, misfits) of a family's unified records.
+
+    An entry that is not of its column's type is null there and kept in ``misfits`` (name -> entry), so nothing is lost.
+    """
+    mine = [(r["name"], r["type"]) for r in types if r["family"] == family]
+    entry = lambda name: F.col("record")[name]
+    words = F.create_map(*[F.lit(x) for w in YES_NO for x in (w, w[0] in "ty")])
+    typed = {name: entry(name) if kind == "string" else words[F.lower(entry(name))] if kind == "boolean" else entry(name).try_cast(kind) for name, kind in mine}
+    misfit = [F.when(typed[name].isNull() & entry(name).isNotNull(), F.struct(F.lit(name).alias("k"), entry(name).alias("v"))) for name, kind in mine if kind != "string"]
+    misfits = F.map_from_entries(F.array_compact(F.array(*misfit))) if misfit else F.lit(None).cast("map<string,string>")
+    # A column may bear the name of a key; keys go by their position first.
+    return unified.where(F.col("family") == family).select("id", "line_no", *[c.alias(n) for n, c in typed.items() if n not in ("id", "line_no", "misfits")], misfits.alias("misfits"))

@@ -184,7 +184,8 @@ def hot_deck(df: DataFrame, deck: Deck) -> DataFrame:
 def apply_fills(df: DataFrame, deck: Deck, fills: DataFrame) -> DataFrame:
     """``df`` with filled columns, a ``<name>_filled`` flag and ``<name>_donors`` for each field; other entries untouched.
 
-    A frame that already has columns of those names gets them replaced.
+    A frame that already has columns of those names gets them replaced. If rows of one key disagree, only those that lack the
+    entry are filled.
     """
     wide = fills.groupBy(F.col(deck.root).alias("__r"), F.col(deck.order).alias("__o")).agg(
         *[F.max(F.when(F.col("field") == f.name, F.struct("value", "donors"))).alias(f"__{f.name}") for f in deck.fills]
@@ -193,7 +194,8 @@ def apply_fills(df: DataFrame, deck: Deck, fills: DataFrame) -> DataFrame:
     types = {s.name: s.dataType for s in df.schema.fields}
     new = {}
     for f in deck.fills:
-        got = F.col(f"__{f.name}")
+        found = F.col(f"__{f.name}")
+        got = F.when(~F.coalesce(f.valid, F.lit(False)), found)
         value = got["value"] if isinstance(types[f.name], T.StringType) else (F.round(got["value"].cast("double")) if isinstance(types[f.name], T.IntegralType) else got["value"]).cast(types[f.name])
         new |= {f.name: F.when(got.isNotNull(), value).otherwise(F.col(f.name)), f"{f.name}_filled": got.isNotNull(), f"{f.name}_donors": got["donors"]}
     return out.withColumns(new).drop("__r", "__o", *[f"__{f.name}" for f in deck.fills])

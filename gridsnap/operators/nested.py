@@ -2,8 +2,9 @@
 
 Every node that stands in a list of records gets an ordinal path: its place in its list, after the path of its parent
 (``2.1.5`` = fifth play of the first drive of the second half). A parent's key is the path without its last ordinal, so
-links need no join and no generated ids. Nodes are grouped by schema path (``half/drives/eventGroups``) into tables.
-A document is parsed where it lies, one per row: nothing is gathered, and the work is linear in the text.
+links need no join and no generated ids. Nodes are grouped by schema path into tables: the levels named for a document, and below
+and beside them every other field that holds a list of objects, at any depth, under the path where it was found
+(``play/officials/notes``). A document is parsed where it lies, one per row: nothing is gathered, and the work is linear in the text.
 """
 
 from __future__ import annotations
@@ -94,6 +95,40 @@ def dewey_nodes(roots: list, levels: tuple[Level, ...]) -> Iterator[tuple[int, l
                 stack.append((depth + 1, label, _elements(record.get(levels[depth + 1].field))))
 
 
+def split_lists(record: dict, skip: str | None = None) -> tuple[dict, list[tuple[str, list]]]:
+    """(own fields, lists of objects by their path below the record); ``skip`` is a field that is a level of its own."""
+    own: dict = {}
+    lists: list[tuple[str, list]] = []
+    for name, value in record.items():
+        opened = _opened(value)
+        if name == skip:
+            continue
+        if isinstance(opened, list) and any(isinstance(_opened(x), dict) for x in opened):
+            lists.append((name, opened))
+        elif isinstance(opened, dict):
+            own[name], inner = split_lists(opened)
+            lists += [(f"{name}/{path}", items) for path, items in inner]
+        else:
+            own[name] = value
+    return own, lists
+
+
+def path_nodes(name: str, label: list[int], record: dict, skip: str | None) -> Iterator[tuple[str, list[int], dict]]:
+    """(schema path, ordinal path, own fields) of a record and of everything in its lists of objects, parents first.
+
+    Ordinals count within one list; lists of one record differ by their schema path.
+    """
+    stack = [(name, label, record, skip)]
+    while stack:
+        name, label, record, skip = stack.pop()
+        try:
+            own, lists = split_lists(record, skip)
+        except RecursionError:
+            own, lists = {k: v for k, v in record.items() if k != skip}, []
+        yield name, label, own
+        stack += [(f"{name}/{path}", [*label, place], opened, None) for path, items in lists for place, item in enumerate(items, 1) if isinstance(opened := _opened(item), dict)]
+
+
 def is_document(payload: Column, levels: tuple[Level, ...]) -> Column:
     """True where the text is complete, valid JSON that holds root records."""
     marks = levels[0].marks
@@ -122,10 +157,11 @@ def latest_documents(df: DataFrame, key: str, at: str, payload: str, levels: tup
     return ok.groupBy("key").agg(F.max(F.struct("at", "payload")).alias("m")).select("key", F.col("m.payload").alias("payload"))
 
 
-def shred(documents: DataFrame, levels: tuple[Level, ...], carry: tuple[str, ...] = ()) -> DataFrame:
+def shred(documents: DataFrame, levels: tuple[Level, ...], carry: tuple[str, ...] = (), every: bool = False) -> DataFrame:
     """All nodes of (key, payload) documents: key, level, path (array<int>), parent (path without its last), attrs (JSON).
 
-    attrs holds the record's own fields without those that are tables of their own. root holds the ``carry`` fields of the
+    With ``every``, lists of objects inside the records of the levels are nodes too, and their level is the schema path from
+    the level's name on. attrs holds the record's own fields without those that are tables of their own. root holds the ``carry`` fields of the
     node's root record, so that keys kept there reach every level without a join. Invalid documents give no rows.
     """
     marks, names = levels[0].marks, [x.name for x in levels]
@@ -143,11 +179,24 @@ def shred(documents: DataFrame, levels: tuple[Level, ...], carry: tuple[str, ...
                 for depth, path, record in dewey_nodes(roots or [], levels):
                     if depth == 0:
                         kept[path[0]] = json.dumps({k: record.get(k) for k in carry}, ensure_ascii=False)
-                    attrs = {k: v for k, v in record.items() if k != inner[depth]}
-                    out.append((key, names[depth], path, path[:-1], json.dumps(attrs, ensure_ascii=False), kept[path[0]]))
+                    if every:
+                        nodes = path_nodes(names[depth], path, record, inner[depth])
+                    else:
+                        nodes = [(names[depth], path, {k: v for k, v in record.items() if k != inner[depth]})]
+                    out += [(key, name, label, label[:-1], json.dumps(attrs, ensure_ascii=False), kept[path[0]]) for name, label, attrs in nodes]
                 if len(out) >= 20000:
                     yield pd.DataFrame(out, columns=COLUMNS)
                     out = []
             yield pd.DataFrame(out, columns=COLUMNS)
 
     return documents.select("key", "payload").mapInPandas(run, f"key {documents.schema['key'].dataType.simpleString()}, level string, path array<int>, parent array<int>, attrs string, root string")
+
+
+def path_columns(nodes: DataFrame) -> DataFrame:
+    """(level, column, kind, rows) of the tables that nodes (level, attrs) form: every field found, with its kinds of value.
+
+    kind is ``object``, ``list``, ``whole``, ``decimal``, ``yes_no`` or ``text``; nulls count under none. Counted map-side.
+    """
+    cells = nodes.select("level", F.explode(F.from_json("attrs", "map<string,string>")).alias("column", "v")).where("v is not null")
+    kind = F.when(F.col("v").startswith("{"), "object").when(F.col("v").startswith("["), "list").when(F.col("v").rlike("^-?[0-9]+$"), "whole").when(F.col("v").rlike(r"^-?[0-9]+\.[0-9]+$"), "decimal").when(F.col("v").isin("true", "false"), "yes_no").otherwise("text")
+    return cells.groupBy("level", "column", kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"))

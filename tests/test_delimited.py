@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from gridsnap.operators.delimited import Broken, check_records, header_names, parse_record, parse_text, value_rules, with_headers
+from gridsnap.operators.delimited import Broken, check_records, header_names, parse_record, parse_text, parse_texts, value_rules, with_headers
 from gridsnap.queries.problems import RAW_RULES
 
 
@@ -52,3 +52,30 @@ def test_rows(spark):
     got = {(r["id"], r["line_no"]): r["reason"] for r in check_records(with_headers(lines, files), RAW_RULES).collect()}
     assert got == {(1, 2): None, (1, 3): "quoting", (1, 4): "column_count", (1, 5): "value", (1, 6): "column_count", (1, 7): None, (2, 2): None, (3, 2): "column_count", (None, 2): "column_count"}
     assert check_records(with_headers(lines.limit(0), files), RAW_RULES).count() == 0
+
+
+def test_found_lines_against_sql(compare):
+    from gridsnap.queries.problems import QUERIES, SQL
+
+    for name in ("p5_found", "p1_counts"):
+        left, right = compare(QUERIES[name], SQL[name], 1)
+        assert left == right and left, name
+
+
+def test_whole_texts(spark):
+    text = '1,2\n3,"x\n4,5\nbad\n6,7\n8,"a\nb"'
+    starts = [0] + [i + 1 for i, c in enumerate(text) if c == "\n"]
+    df = spark.createDataFrame([(1, 0, text, starts, 2, ","), (2, 0, None, None, 2, ","), (3, 0, "", [0], 2, None)], "id int, part int, text string, starts array<int>, width int, delim string")
+    got = sorted((r["line"], tuple(r["fields"] or ()), r["reason"], r["at"]) for r in parse_texts(df).collect())
+    assert got == [(0, ("1", "2"), None, None), (1, (), "quoting", 19), (2, ("4", "5"), None, None), (3, ("bad",), "column_count", 0), (4, ("6", "7"), None, None), (5, ("8", "a\nb"), None, None)]
+
+
+def test_errors_have_their_place(spark):
+    from gridsnap.queries.problems import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = QUERIES["p5_errors"](spark, sf).collect()
+    assert {r["reason"] for r in rows} == {"quoting", "column_count", "value"}
+    assert all((r["error_offset"] is not None) == (r["reason"] == "quoting") and (r["field"] is not None) == (r["reason"] == "value") for r in rows)
+    whole = {(r["file_id"], r["line_no"]) for r in QUERIES["p5_recovered"](spark, sf).collect()}
+    assert whole and whole & {(r["file_id"], r["line_no"]) for r in rows if r["reason"] == "quoting"}

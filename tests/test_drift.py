@@ -58,3 +58,21 @@ def test_names_that_stood_together_are_never_matched(spark):
 def test_empty(spark):
     _, _, got = changes(spark, {"f": [["a;b"]]})
     assert got.count() == 0
+
+
+def test_one_untidy_header_bars_no_rename(spark):
+    body = [f"{i % 4};{'AB'[i % 2]}{i % 3}" for i in range(30)]
+    many = {f"g{k}": [["down;team", *body], ["dn_no;team", *body]] for k in range(25)}
+    _, _, got = changes(spark, many | {"odd": [["down;dn_no;team", *[f"1;2;A{i}" for i in range(5)]]]})
+    assert {(r["kind"], r["old_name"], r["new_name"]) for r in got.collect()} == {("renamed", "down", "dn_no")} and got.count() == 25
+
+
+def test_typed_tables_keep_misfits(spark):
+    a = ["n;flag;x;t;e", *[f"{i};{'yes' if i % 2 else 'no'};{i}.5;word{i};" for i in range(30)], "oops;maybe;;NA;"]
+    sch, rec, got = changes(spark, {"f": [a, ["t;n", "u;7"]]})
+    canon = drift.canonical_names(sch, got)
+    types = drift.column_types(sch, canon)
+    assert {r["name"]: r["type"] for r in types} == {"n": "bigint", "flag": "boolean", "x": "double", "t": "string", "e": "string"}
+    out = {(r["id"], r["line_no"]): r for r in drift.typed_table(drift.unify(rec, sch, canon), types, "fam").collect()}
+    assert (out[1, 3]["n"], out[1, 3]["flag"], out[1, 3]["x"], out[1, 3]["t"], out[1, 3]["misfits"]) == (1, True, 1.5, "word1", {})
+    assert out[1, 32]["n"] is None and out[1, 32]["misfits"] == {"n": "oops", "flag": "maybe"} and out[2, 2]["n"] == 7 and out[2, 2]["x"] is None

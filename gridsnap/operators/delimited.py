@@ -172,6 +172,28 @@ def value_rules(spec: dict[str, tuple[str, int | None]]) -> Rules:
     return {name: _matches(*how) for name, how in spec.items()}
 
 
+def checked(batch: pd.DataFrame, checks: Rules) -> Iterator[tuple[list[str], list[str] | None, str | None, int | None]]:
+    """(names, fields, reason, place) of every row (line, header, delim) of a batch; rows of one header share its names."""
+    heads: dict[tuple, tuple] = {}
+    for line, header, delim in zip(batch["line"], batch["header"], batch["delim"]):
+        head = heads.get((header, delim))
+        if head is None:
+            names = header_names(header, delim or ",") if isinstance(header, str) else []
+            head = heads[header, delim] = names, [(i, checks[x]) for i, x in enumerate(names) if x in checks]
+        names, tests = head
+        fields, reason, place = None, None, None
+        try:
+            fields = parse_record(line if isinstance(line, str) else "", delim or ",")
+            if len(fields) != len(names):
+                reason = "column_count"
+            else:
+                place = next((i for i, ok in tests if not ok(fields[i])), None)
+                reason = None if place is None else "value"
+        except Broken as e:
+            reason, place = "quoting", e.at
+        yield names, fields, reason, place
+
+
 def check_records(lines: DataFrame, rules: dict[str, tuple[str, int | None]]) -> DataFrame:
     """Parse rows (id, line_no, line, header, delim) that hold one record each.
 
@@ -185,29 +207,9 @@ def check_records(lines: DataFrame, rules: dict[str, tuple[str, int | None]]) ->
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         checks = value_rules(rules)
         for batch in batches:
-            heads: dict[tuple, tuple] = {}
-            names_, fields_, reasons, places = [], [], [], []
-            for line, header, delim in zip(batch["line"], batch["header"], batch["delim"]):
-                head = heads.get((header, delim))
-                if head is None:
-                    names = header_names(header, delim or ",") if isinstance(header, str) else []
-                    head = heads[header, delim] = names, [(i, checks[x]) for i, x in enumerate(names) if x in checks]
-                names, tests = head
-                fields, reason, place = None, None, None
-                try:
-                    fields = parse_record(line if isinstance(line, str) else "", delim or ",")
-                    if len(fields) != len(names):
-                        reason = "column_count"
-                    else:
-                        place = next((i for i, ok in tests if not ok(fields[i])), None)
-                        reason = None if place is None else "value"
-                except Broken as e:
-                    reason, place = "quoting", e.at
-                names_.append(names)
-                fields_.append(fields)
-                reasons.append(reason)
-                places.append(place)
-            yield pd.DataFrame({"id": batch["id"], "line_no": batch["line_no"], "names": names_, "fields": fields_, "reason": reasons, "error_at": pd.array(places, dtype="Int32")})
+            got = list(checked(batch, checks))
+            names, fields, reasons, places = ([x[i] for x in got] for i in range(4))
+            yield pd.DataFrame({"id": batch["id"], "line_no": batch["line_no"], "names": names, "fields": fields, "reason": reasons, "error_at": pd.array(places, dtype="Int32")})
 
     kinds = {c: lines.schema[c].dataType.simpleString() for c in ("id", "line_no")}
     return lines.select("id", "line_no", "line", "header", "delim").mapInPandas(run, f"id {kinds['id']}, line_no {kinds['line_no']}, names array<string>, fields array<string>, reason string, error_at int")

@@ -9,13 +9,16 @@ Names that stand side by side in a fair share of a family's files are different
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridsnap.operators.delimited import checked, value_rules
 from gridsnap.plans.cuts import cut
 
 BUCKETS = 4096
@@ -28,36 +31,67 @@ YES_NO = ("true", "false", "yes", "no", "y", "n", "t", "f")
 EMPTY = ("", "na")
 
 
-def value_class(v: Column) -> Column:
+WHOLE, DECIMAL = re.compile(r"[+-]?[0-9]+"), re.compile(r"[+-]?([0-9]+\.[0-9]*|\.[0-9]+)")
+#: Different entries whose sketch a task remembers.
+REMEMBERED = 100_000
+
+
+def value_class(v: str) -> str:
     """``whole``, ``decimal``, ``yes_no`` or ``text`` of a trimmed entry."""
-    return (
-        F.when(v.rlike(r"^[+-]?[0-9]+$"), "whole")
-        .when(v.rlike(r"^[+-]?([0-9]+\.[0-9]*|\.[0-9]+)$"), "decimal")
-        .when(F.lower(v).isin(*YES_NO), "yes_no")
-        .otherwise("text")
-    )
+    return "whole" if WHOLE.fullmatch(v) else "decimal" if DECIMAL.fullmatch(v) else "yes_no" if v.lower() in YES_NO else "text"
+
+
+def sketch(v: str) -> tuple[int, str, float | None, int] | None:
+    """(bucket, class, number, length) of an entry; None if it says nothing."""
+    v = v.strip(" ")
+    low = v.lower()
+    if low in EMPTY:
+        return None
+    kind = value_class(v)
+    return crc32(low.encode()) % BUCKETS, kind, float(v) if kind in ("whole", "decimal") else None, len(v)
 
 
-def profile_columns(records: DataFrame) -> DataFrame:
-    """(id, name, n, kind, hist, mean, sd, len) per file and column of valid records (id, names, fields).
+def profile_columns(lines: DataFrame, rules: dict[str, tuple[str, int | None]]) -> DataFrame:
+    """(id, name, n, kind, hist, mean, sd, len) per file and column over the valid ones of rows (id, line, header, delim).
 
-    kind is the most frequent class; hist the counts per value bucket. Cells are counted by (file, column, bucket, class)
-    before the shuffle, so a file with a third of all rows arrives as at most 4 x BUCKETS rows per column and task.
+    kind is the most frequent class; hist the counts per value bucket. Entries are counted column by column where they are
+    parsed and leave Python as counts per (file, column, bucket, class), so a file with a third of all rows arrives as at most
+    4 x BUCKETS rows per column and batch, which are summed before and after the shuffle.
     """
-    cells = records.select("id", F.explode(F.arrays_zip("names", "fields")).alias("c")).select("id", F.col("c.names").alias("name"), F.trim("c.fields").alias("v"))
-    cells = cells.where(F.col("v").isNotNull() & ~F.lower("v").isin(*EMPTY))
-    num = F.col("v").try_cast("double")
-    counts = cells.groupBy("id", "name", F.pmod(F.xxhash64(F.lower("v")), F.lit(BUCKETS)).cast("int").alias("b"), value_class(F.col("v")).alias("kind")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("v")).alias("chars"), F.sum(num).alias("s"), F.sum(num * num).alias("s2"), F.count(num).alias("k")
-    )
-    per_kind = counts.groupBy("id", "name", "kind").agg(
-        F.sum("n").alias("n"), F.collect_list(F.struct("b", "n")).alias("hist"), F.sum("chars").alias("chars"), F.sum("s").alias("s"), F.sum("s2").alias("s2"), F.sum("k").alias("k")
-    )
-    return per_kind.groupBy("id", "name").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "kind"))["kind"].alias("kind"), F.flatten(F.collect_list("hist")).alias("hist"),
-        (F.sum("s") / F.nullif(F.sum("k"), F.lit(0))).alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.sum("s2") / F.nullif(F.sum("k"), F.lit(0)) - F.pow(F.sum("s") / F.nullif(F.sum("k"), F.lit(0)), 2))).alias("sd"),
-        (F.sum("chars") / F.sum("n")).alias("len"),
-    )
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        checks, known = value_rules(rules), {}
+        for batch in batches:
+            files: dict[tuple, tuple[list[str], list]] = {}
+            for key, (names, fields, reason, _) in zip(batch["id"], checked(batch, checks)):
+                if reason is None:
+                    files.setdefault((key, id(names)), (names, []))[1].append(fields)
+            out: dict[tuple, list] = {}
+            for (key, _), (names, rows) in files.items():
+                for name, column in zip(names, zip(*rows)):
+                    for v, n in Counter(column).items():
+                        if v not in known:
+                            if len(known) >= REMEMBERED:
+                                known.clear()
+                            known[v] = sketch(v)
+                        if (got := known[v]) is not None:
+                            bucket, kind, number, length = got
+                            sums = out.setdefault((key, name, bucket, kind), [0, 0, 0.0, 0.0, 0])
+                            sums[0] += n
+                            sums[1] += n * length
+                            if number is not None:
+                                sums[2] += n * number
+                                sums[3] += n * number * number
+                                sums[4] += n
+            yield pd.DataFrame([(*k, *v) for k, v in out.items()], columns=["id", "name", "b", "kind", "n", "chars", "s", "s2", "k"])
+
+    cells = lines.select("id", "line", "header", "delim").mapInPandas(run, f"id {lines.schema['id'].dataType.simpleString()}, name string, b int, kind string, n bigint, chars bigint, s double, s2 double, k bigint")
+    sums = [F.sum(c).alias(c) for c in ("n", "chars", "s", "s2", "k")]
+    counts = cells.groupBy("id", "name", "b", "kind").agg(*sums)
+    per_kind = counts.groupBy("id", "name", "kind").agg(*sums, F.collect_list(F.struct("b", "n")).alias("hist"))
+    per = per_kind.groupBy("id", "name").agg(*sums, F.max(F.struct("n", "kind"))["kind"].alias("kind"), F.flatten(F.collect_list("hist")).alias("hist"))
+    mean = F.try_divide("s", "k")
+    return per.select("id", "name", "n", "kind", "hist", mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), F.try_divide("s2", "k") - mean * mean)).alias("sd"), (F.col("chars") / F.col("n")).alias("len"))
 
 
 def _edit(a: str, b: str) -> int:

@@ -165,8 +165,9 @@ def p5_recovered(spark: SparkSession, sf: str) -> DataFrame:
 def raw_schemas(spark: SparkSession, sf: str) -> DataFrame:
     """Each raw file with its profiled columns."""
     files = table(spark, sf, "raw_files").select(F.col("file_id").alias("id"), "feed", "family", "covers_from", "delim").dropDuplicates(["id"])
-    headers = parse_headers(table(spark, sf, "raw_lines").select("file_id", "line_no", "line"), files)
-    return file_schemas(files.drop("delim"), headers, profile_columns(raw_records(spark, sf).where("reason is null")))
+    lines = table(spark, sf, "raw_lines").select("file_id", "line_no", "line")
+    profiles = profile_columns(with_headers(lines, files.select(F.col("id").alias("file_id"), "delim")), RAW_RULES)
+    return file_schemas(files.drop("delim"), parse_headers(lines, files), profiles)
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:

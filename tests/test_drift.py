@@ -32,8 +32,9 @@ def changes(spark, feeds):
             lines += [(fid, 1, header), *[(fid, i, r) for i, r in enumerate(rows, 2)]]
     f = spark.createDataFrame(files, "id int, feed string, family string, covers_from int, delim string")
     ln = spark.createDataFrame(lines, "file_id int, line_no int, line string")
-    rec = check_records(with_headers(ln, f.withColumnRenamed("id", "file_id").select("file_id", "delim")), {}).where("reason is null")
-    sch = drift.file_schemas(f.drop("delim"), parse_headers(ln, f), drift.profile_columns(rec))
+    rows = with_headers(ln, f.withColumnRenamed("id", "file_id").select("file_id", "delim"))
+    rec = check_records(rows, {}).where("reason is null")
+    sch = drift.file_schemas(f.drop("delim"), parse_headers(ln, f), drift.profile_columns(rows, {}))
     return sch, rec, drift.schema_changes(sch)
 
 

@@ -9,6 +9,7 @@ from gridsnap.llm.leaks import find_leaks, removal_spans
 from gridsnap.llm.mixing import mix, shares, token_counts
 from gridsnap.llm.names import roster_groups, roster_links
 from gridsnap.llm.residue import with_residue
+from gridsnap.plans.cuts import cut
 from gridsnap.sources.tables import table
 
 
@@ -52,5 +53,15 @@ def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
     return shares(mix(token_counts(table(spark, sf, "documents"), ["doc_id", "source"]), targets), targets)
 
 
-QUERIES = {"p2_found": p2_found, "p2_members": p2_members, "p6_found": p6_found, "p6_spans": p6_spans, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
+def p7_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and actual shares at a budget of as many tokens as the corpus holds: scarce sources are used up at their most
+    repeats, and the others take their place.
+    """
+    targets = table(spark, sf, "mix_targets")
+    counted = cut(token_counts(table(spark, sf, "documents"), ["doc_id", "source"]))
+    budget = counted.agg(F.sum("tokens")).first()[0] or 0
+    return shares(mix(counted, targets, budget), targets)
+
+
+QUERIES = {"p7_capped": p7_capped, "p2_found": p2_found, "p2_members": p2_members, "p6_found": p6_found, "p6_spans": p6_spans, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p8_found": p8_found, "p8_clean": p8_clean}
 SQL: dict[str, str] = {}

@@ -65,8 +65,12 @@ def ep_cells(counts: DataFrame) -> DataFrame:
 
 
 def score_ep(df: DataFrame, counts: DataFrame) -> DataFrame:
-    """``df`` with the probabilities of its cell, or of the whole frame where the cell is empty; both are broadcast, some sixty rows."""
-    sums = cut(_cell_sums(counts).coalesce(1))
+    """``df`` with the probabilities of its cell, or of the whole frame where the cell is empty.
+
+    The model is some sixty rows, one per cell of field half, distance bucket and down: it passes through the driver and is broadcast.
+    """
+    sums = _cell_sums(counts)
+    sums = df.sparkSession.createDataFrame(sums.collect(), sums.schema)
     names = [f"{name}_Prob" for name in CLASSES]
     whole = sums.agg(*[F.try_divide(F.sum(f"s{i}"), F.sum("s")).alias(f"all_{n}") for i, n in enumerate(names)])
     cells = sums.select(*[F.col(c).alias(f"c_{c}") for c in CELL], *[F.try_divide(F.col(f"s{i}"), F.col("s")).alias(f"c_{n}") for i, n in enumerate(names)])

@@ -13,6 +13,8 @@ from gridsnap.sources import feeds, playlog
 from gridsnap.sources.tables import table
 
 KEY = ("game_id", "play_id")
+#: What counting, scoring and the reports on expected points need of a prepared play.
+EP_COLUMNS = (*KEY, "index", "half", "drive_id", "home_team", "away_team", "posteam", "defteam", "down", "yards_to_go", "yards_to_go_simple", "yardline_50", "yardline_50_simple", "play_type", "penalty", "interception", "touchdown", "safety", "one_point_conv_success", "two_point_conv_success", "defensive_two_point_conv", "scoring_play", "scoring_play_team", "half_end", "game_end", "score_differential", "Next_Score_Half", "Drive_Score_Half", "OFF FORM")
 #: The game that is scored by models of all others.
 HELD_OUT = 35
 FLAGS = ("complete_pass", "interception", "touchdown", "def_touchdown", "one_point_conv_success", "two_point_conv_success", "defensive_two_point_conv", "safety", "scoring_play")
@@ -31,7 +33,8 @@ def prepared(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def with_ep(spark: SparkSession, sf: str) -> DataFrame:
-    rows = prepared(spark, sf)
+    # The chain of windows runs once; counting and scoring read its narrow result.
+    rows = cut(prepared(spark, sf).select(*EP_COLUMNS))
     return expected.add_ep(model.score_ep(rows, model.ep_counts(rows)))
 
 

@@ -187,15 +187,19 @@ def apply_fills(df: DataFrame, deck: Deck, fills: DataFrame) -> DataFrame:
     A frame that already has columns of those names gets them replaced. If rows of one key disagree, only those that lack the
     entry are filled.
     """
+    lacks = lambda f: ~F.coalesce(f.valid, F.lit(False))
+    any_ = reduce(lambda p, q: p | q, [lacks(f) for f in deck.fills])
+    types = {s.name: s.dataType for s in df.schema.fields}
     wide = fills.groupBy(F.col(deck.root).alias("__r"), F.col(deck.order).alias("__o")).agg(
         *[F.max(F.when(F.col("field") == f.name, F.struct("value", "donors"))).alias(f"__{f.name}") for f in deck.fills]
     )
-    out = df.join(wide, (F.col(deck.root) == F.col("__r")) & (F.col(deck.order).cast("long") == F.col("__o")), "left")
-    types = {s.name: s.dataType for s in df.schema.fields}
+    out = df.where(any_).join(wide, (F.col(deck.root) == F.col("__r")) & (F.col(deck.order).cast("long") == F.col("__o")), "left")
     new = {}
     for f in deck.fills:
-        found = F.col(f"__{f.name}")
-        got = F.when(~F.coalesce(f.valid, F.lit(False)), found)
+        got = F.when(lacks(f), F.col(f"__{f.name}"))
         value = got["value"] if isinstance(types[f.name], T.StringType) else (F.round(got["value"].cast("double")) if isinstance(types[f.name], T.IntegralType) else got["value"]).cast(types[f.name])
         new |= {f.name: F.when(got.isNotNull(), value).otherwise(F.col(f.name)), f"{f.name}_filled": got.isNotNull(), f"{f.name}_donors": got["donors"]}
-    return out.withColumns(new).drop("__r", "__o", *[f"__{f.name}" for f in deck.fills])
+    out = out.withColumns(new).drop("__r", "__o", *[f"__{f.name}" for f in deck.fills])
+    # Rows that hold every entry, most of a table, pass by the join.
+    whole = {f"{f.name}_filled": F.lit(False) for f in deck.fills} | {f"{f.name}_donors": F.lit(None).cast("array<bigint>") for f in deck.fills}
+    return out.unionByName(df.where(~any_).withColumns(whole))

@@ -98,13 +98,18 @@ def _near(df: DataFrame, deck: Deck) -> DataFrame:
     # A null donor keeps a recipient that finds nobody.
     pairs = blocks.select("r", "at", F.explode("x").alias("x"), "recs").select("r", "at", "x", F.explode(F.concat("recs", F.array(F.lit(None)))).alias("d"))
 
-    def found(i: int) -> Column:
+    def match(i: int) -> Column:
         own = F.col("d.o").isNull() | ((F.col(f"x.g{i}") == F.col(f"d.g{i}")) & F.col(f"d.v{i}").isNotNull() & (F.col("x.o") != F.col("d.o")))
-        return F.when(lacks(F.col("x"), i) & own, F.struct(F.lit(i).alias("i"), F.col(f"x.g{i}").alias("g"), F.col(f"d.v{i}").cast("string").alias("v")))
+        return lacks(F.col("x"), i) & own
+
+    def found(i: int) -> Column:
+        return F.when(match(i), F.struct(F.lit(i).alias("i"), F.col(f"x.g{i}").alias("g"), F.col(f"d.v{i}").cast("string").alias("v")))
 
-    # Distances are taken only of pairs that share a group one of them lacks an entry of.
-    each = pairs.withColumn("ms", F.array_compact(F.array(*[found(i) for i in every]))).where("size(ms) > 0").select("r", "at", F.col("x.o").alias("o"), "ms", F.when(F.col("d.o").isNotNull(), F.struct(_distance(deck).alias("dist"), F.col("d.o").alias("donor"))).alias("d"))
-    each = each.select("r", "at", "o", "d", F.explode("ms").alias("m")).select("r", "at", "o", F.col("m.i").alias("i"), F.col("m.g").alias("g"), F.when(F.col("d").isNotNull(), F.struct("d.dist", "d.donor", "m.v")).alias("d"))
+    # Matches are built, and distances taken, only of pairs that share a group one of them lacks an entry of.
+    each = pairs.where(reduce(lambda p, q: p | q, [match(i) for i in every]))
+    each = each.select("r", "at", F.col("x.o").alias("o"), F.array_compact(F.array(*[found(i) for i in every])).alias("ms"), F.when(F.col("d.o").isNotNull(), F.struct(_distance(deck).alias("dist"), F.col("d.o").alias("donor"))).alias("d"))
+    each = each.select("r", "at", "o", "d", F.explode("ms").alias("m"))
+    each = each.select("r", "at", "o", F.col("m.i").alias("i"), F.col("m.g").alias("g"), F.when(F.col("d").isNotNull(), F.struct("d.dist", "d.donor", "m.v")).alias("d"))
     closest = lambda lists: F.slice(F.array_sort(lists), 1, deck.k)
     here = each.groupBy("r", "at", "o", "i", "g").agg(closest(F.collect_list("d")).alias("donors"))
     return here.groupBy("r", "o", "i", "g").agg(closest(F.flatten(F.collect_list("donors"))).alias("donors"))

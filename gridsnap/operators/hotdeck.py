@@ -115,8 +115,8 @@ def _near(df: DataFrame, deck: Deck) -> DataFrame:
     return here.groupBy("r", "o", "i", "g").agg(closest(F.flatten(F.collect_list("donors"))).alias("donors"))
 
 
-#: Most groups that are sent to every task; beyond, their records are found by a shuffle.
-BROADCAST_GROUPS = 100_000
+#: Most entries without a near donor whose keys and groups are sent to every task; beyond, their records are found by a shuffle.
+BROADCAST_ENTRIES = 100_000
 
 
 def _far(rows: DataFrame, rest: DataFrame, deck: Deck) -> DataFrame:
@@ -126,15 +126,15 @@ def _far(rows: DataFrame, rest: DataFrame, deck: Deck) -> DataFrame:
     first and the last donor, so it holds at most 2 x ``cell`` of them and the nearest before and after a recipient are among them. An entry
     is settled at the first level at which it finds a donor in its cell or those beside it.
     """
-    groups = rest.select("r", "i", "g").distinct()
-    many = groups.count()
+    many = rest.count()
     if not many:
         return rest.select("r", "o", "i", "g", F.expr("cast(array() as array<struct<dist:double,donor:bigint,v:string>>)").alias("donors"))
-    groups = F.broadcast(groups) if many <= BROADCAST_GROUPS else groups
+    small = lambda df: F.broadcast(df) if many <= BROADCAST_ENTRIES else df
+    groups, keys = small(rest.select("r", "i", "g").distinct()), small(rest.select("r", "o").distinct())
     features = [f"f{i}" for i in range(len(deck.features))]
     each = F.explode(F.array_compact(F.array(*[F.when(F.col(f"v{i}").isNotNull() & F.col(f"g{i}").isNotNull(), F.struct(F.lit(i).alias("i"), F.col(f"g{i}").alias("g"), F.col(f"v{i}").cast("string").alias("v"))) for i in range(len(deck.fills))]))).alias("m")
     donors = rows.select("r", "o", *features, each).select("r", "o", *features, "m.*").join(groups, ["r", "i", "g"], "left_semi")
-    wants = rest.join(rows.select("r", "o", *features).dropDuplicates(["r", "o"]), ["r", "o"])
+    wants = rest.join(rows.select("r", "o", *features).join(keys, ["r", "o"], "left_semi").dropDuplicates(["r", "o"]), ["r", "o"])
     ends = donors.agg(F.min("o").alias("lo"), F.max("o").alias("hi")).first()
     reach = max(abs(ends["lo"] or 0), abs(ends["hi"] or 0))
     width, out = deck.cell, None

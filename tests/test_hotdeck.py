@@ -88,7 +88,7 @@ def test_groups_beyond_the_broadcast_bound(spark, monkeypatch):
     df = spark.createDataFrame(data, "game int, play int, drive int, yard int")
     deck = Deck("game", "play", (Fill("yard", "num", F.col("yard").between(0, 50), ("drive",)),))
     want = sorted(map(str, hot_deck(df, deck).collect()))
-    monkeypatch.setattr(hotdeck, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(hotdeck, "BROADCAST_ENTRIES", 0)
     assert sorted(map(str, hot_deck(df, deck).collect())) == want and len(want) == 5
 
 

@@ -129,3 +129,42 @@ def test_glued_particles_mistyped_short_forms_and_split_double_names(spark):
         ("T", 7, "Al Korubena", 5, None), ("T", 8, "Eli Korubena", 6, None), ("T", 9, "Gabriele de Fenikrako", 1, None), ("T", 10, "Gabriele deFenikrakko", 1, None),
     ]
     assert people_of(links(spark, rows, (("Vero", "Veronika"),))) == {("1", "2"), ("3", "4"), ("5", "6"), ("10", "9")}
+
+
+def test_index_leaves_out_no_pair_that_is_accepted(spark, monkeypatch):
+    rng = random.Random(5)
+    given = ["Anna", "Hanna", "Nana", "Jani", "Jari", "Bob", "Robert", "Bobbie", "Alexander", "Sasha", "Margareta", "Maggie", "Eva-Maria"]
+    last = ["Li", "Lu", "Mirelo", "Delmirelo", "Mirelomann", "Kovo-Mirelo", "Velonta", "Velnota", "Ali", "Annali", "M", "V", "R"]
+    people = [(t, f"{g} {s}" if rng.random() < 0.7 else f"{s}, {g}", rng.choice((None, 1, 2)), None) for t in "TU" for g, s in rng.sample(list(itertools.product(given, last)), 110)]
+    clubs = ["A Van", "A Vantaa", "A Vnataa", "Kovo Rockets", "Rockets", "K.R.", "Kovo Rokcets", "Korvo Rockets", "KovoRockets", "A B Kovo", "A B Kov", "Kovo A B"]
+    rows = people + [("T", "", None, c) for c in clubs]
+    # Given names that stand everywhere are common there.
+    rows += [(f"W{i}", f"{g} {chr(97 + i)}ukka", None, None) for i in range(12) for g in given]
+    facts, cand, judge = [], set(), N.judged
+
+    def judged(df, pairs, foes=False):
+        if not foes:
+            facts.extend(r.asDict(True) for r in df.collect())
+            cand.update((r["a"], r["b"]) for r in pairs.collect())
+        return judge(df, pairs, foes)
+
+    monkeypatch.setattr(N, "judged", judged)
+    links(spark, [(t, i, n, u, c) for i, (t, n, u, c) in enumerate(rows)], (("Bob", "Robert"), ("Sasha", "Alexander"), ("Bobby", "Robert")))
+    assert any(t["common"] for f in facts for t in f["toks"])
+    accepted = 0
+    for a, b in itertools.combinations(sorted(facts, key=lambda f: f["node"]), 2):
+        if a["blk"] == b["blk"]:
+            agree = a["number"] is not None and a["number"] == b["number"]
+            fits = N.same_person(a["toks"], b["toks"], agree)[0] > 0 if a["kind"] == "P" else N.same_club(a["toks"], a["mark"] == "initials", b["toks"], b["mark"] == "initials")
+            accepted += bool(fits)
+            assert not fits or (a["node"], b["node"]) in cand, (a["toks"], b["toks"])
+    assert accepted > 200
+
+
+def test_rows_that_no_mark_brings_together_are_still_parted(spark):
+    # A B stands for both; what parts the two others is seen though their given names share no letter.
+    rows = [("T", 1, "Anna Velonta", 4, None), ("T", 2, "A B Velonta", 4, None), ("T", 3, "Robert Velonta", 5, None), ("T", 4, "Cilli Korbela", 1, "Kovo Rockets"), ("T", 5, "C B Korbela", None, None), ("T", 6, "Buf Korbela", 2, "Lunish Anvils")]
+    got = people_of(links(spark, rows, (("Ann", "Anna"), ("Rob", "Robert"))))
+    assert len(got) == 2 and len(got & {("1", "2"), ("2", "3")}) == 1 and len(got & {("4", "5"), ("5", "6")}) == 1
+    rows = [("T", 1, "Kaisa Mirelomann", 4, None), ("T", 2, "Kaisa M", 4, None), *[(f"U{i}", 10 + i, f"Kaisa {'bcdfghjklmnprst'[i % 15]}o{'aeiou'[i // 15]}ka", 1, None) for i in range(60)]]
+    assert people_of(links(spark, rows)) == {("1", "2")}

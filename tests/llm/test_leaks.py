@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from gridsnap.llm import leaks as L
@@ -116,3 +117,27 @@ def test_short_items_against_brute_force():
 def test_long_tags_are_markup(spark):
     tag = '<a href="' + "x" * 900 + '">'
     assert found(spark, [(1, ITEM.replace(" runner", f" {tag}run</a>ner"), 0), (2, ITEM.replace(" ", f" {tag} "), 0)], [(1, ITEM, 0)]) == {(1, 1), (2, 1)}
+
+
+def test_a_passage_finds_its_partner_however_often_the_other_stands(monkeypatch):
+    r, a, s, b, gap = (words(n, k) for n, k in ((3, 11), (4, 12), (3, 13), (4, 14), (10, 15)))
+    item = [*r, *a, *s, *gap, *s, *b, *r]
+    # The two first copies of one half share words with the other half, the third has room beside it.
+    both = [*r, *a, *s, *b, *r, *a, *s]
+    assert leaked(item, [*both, *words(40, 16), *r, *a, *s]) and not leaked(item, both)
+    rng = random.Random(8)
+    for _ in range(300):
+        cuts = [sorted(rng.sample(range(25), 2)) for _ in range(4)]
+        some = []
+        for _ in range(rng.randrange(1, 14)):
+            x, y = rng.choice(cuts)
+            at = rng.randrange(60)
+            some.append((x, y, at, at + y - x, y - x))
+        monkeypatch.setattr(L, "passages", lambda *_, some=some: some)
+        good = [p for p in some if p[4] >= 3]
+        most = max((len(set(range(*x[:2])) | set(range(*y[:2]))) for x in good for y in good if x is y or x[3] <= y[2] or y[3] <= x[2]), default=0)
+        got = L.leak_of(words(30), [], [])
+        assert (got is not None) == (most >= 15)
+        if got:
+            of = [[p for p in good if p[2:4] == span] for span in got]
+            assert max(len(set().union(*(range(*p[:2]) for p in ps))) for ps in itertools.product(*of)) == most and all(x[1] <= y[0] for x, y in itertools.pairwise(got))
